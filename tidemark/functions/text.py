@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that end a line and the ones that separate words,
 # written so that Java's and RE2's regular expressions read them alike.
 PLAIN_BREAK = r"\r\n|\n|\r"
-EXTRA_BREAKS = r"\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}"
-UNICODE_BREAK = rf"\r\n|[\n\r{EXTRA_BREAKS}]"
+UNICODE_BREAK = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
+PLAIN_BREAK_CHARACTERS = "\n\r"
+UNICODE_BREAK_CHARACTERS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 WORD = (
     r"[^\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}"
     r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -18,6 +22,11 @@ WORD = (
 TEXT_SUFFIXES = ("txt", "csv", "log", "md", "py", "js", "html", "xml", "json")
 
 
+def ends_in_break(text: Column, unicode_breaks: bool = False) -> Column:
+    ends = UNICODE_BREAK_CHARACTERS if unicode_breaks else PLAIN_BREAK_CHARACTERS
+    return reduce(or_, [text.endswith(end) for end in ends])
+
+
 def line_count(text: Column, unicode_breaks: bool = False) -> Column:
     """Lines of a text: a final break adds none, an empty text has none.
 
@@ -25,7 +34,7 @@ def line_count(text: Column, unicode_breaks: bool = False) -> Column:
     ``unicode_breaks`` form feeds, separators and the like end a line too.
     """
     line_break = UNICODE_BREAK if unicode_breaks else PLAIN_BREAK
-    unfinished = (F.length(text) > 0) & ~text.rlike(rf"(?:{line_break})\z")
+    unfinished = (text != "") & ~ends_in_break(text, unicode_breaks)
     return (F.regexp_count(text, F.lit(line_break)) + unfinished.cast("int")).cast("bigint")
 
 
