@@ -20,6 +20,11 @@ def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)$", 1)
 
 
+def base64_text(content: Column) -> Column:
+    """Base64 in one line; Spark's own function breaks lines after 76 characters."""
+    return F.translate(F.base64(content), "\r\n", "")
+
+
 def bytes_of_base64(text: Column) -> Column:
     """Decoded bytes; NULL instead of an error for text that is not base64."""
     return F.try_to_binary(text, F.lit("base64"))

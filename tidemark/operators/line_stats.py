@@ -34,15 +34,19 @@ def stats_of_lines(lines: DataFrame, unicode_breaks: bool = False) -> DataFrame:
     ends_in_extra = text.ends_in_break(F.col("value"), unicode_breaks) & ~F.col("value").endswith(
         "\r"
     )
+    # Lines of one read task come in file order, so this orders all lines of a file.
     place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
-    per_file = lines.groupBy(
+    placed = lines.select(
+        "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("file_size_bytes"),
-    ).agg(
+        place.alias("place"),
+    )
+    per_file = placed.groupBy("path", "file_size_bytes").agg(
         F.sum(F.regexp_count(piece, F.lit(line_break)) + 1).alias("pieces"),
         F.sum(text.word_count(F.col("value"))).alias("word_count"),
         F.sum(F.octet_length("value") + 1).alias("bytes_with_breaks"),
-        F.max_by(ends_in_extra, place).alias("last_ends_in_extra"),
+        F.max_by(ends_in_extra, "place").alias("last_ends_in_extra"),
     )
     # One byte more than the file has: no break after the last piece. A byte
     # order mark, three bytes, is not part of the first line.

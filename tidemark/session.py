@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +77,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the session was started.
+
+    The archive is made on the driver, and Spark copies it to the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    stem = Path(tempfile.mkdtemp(prefix="tidemark-package-")) / package.name
+    archive = shutil.make_archive(str(stem), "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)

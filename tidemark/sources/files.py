@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,6 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 
-CORRUPT = "_corrupt_record"
 DAY = "yyyy-MM-dd"
 
 
@@ -25,24 +26,16 @@ def delimited(spark: SparkSession, path: str, schema: T.StructType, delimiter: s
 
 
 def csv_with_header(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType | None = None,
-    mode: str = "PERMISSIVE",
-    check_unused: bool = False,
+    spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
     """CSV with a header row; values are trimmed so that ``"true "`` is a boolean.
 
-    Without a schema the types are inferred, which costs one more scan. With
-    ``check_unused`` a row is judged by all its columns, also those that the
-    query does not use.
+    Without a schema the types are inferred, which costs one more scan.
     """
     reader = (
         spark.read.option("header", True)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
-        .option("mode", mode)
-        .option("columnPruning", not check_unused)
     )
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path)
@@ -66,19 +59,40 @@ def feed_file(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("source_date", F.try_to_date(F.trim("source_date"), DAY))
 
 
-def transactions(
+def transactions_with_rejects(
     spark: SparkSession, path: str, schema: T.StructType = schemas.TRANSACTION_FILE
 ) -> DataFrame:
-    """Well-typed transaction rows; rows with a value of the wrong type are left out."""
-    return csv_with_header(spark, path, schema, "DROPMALFORMED", check_unused=True)
+    """Every row, typed; ``rejected`` marks rows whose numbers or dates do not parse.
+
+    The columns are read as text and converted here, so the verdict covers the
+    whole row also when a query uses only some columns. ``raw_record`` keeps the
+    text of a rejected row.
+    """
+    as_text = T.StructType([T.StructField(field.name, T.StringType()) for field in schema])
+    typed = {
+        field.name: (F.lower(field.name) == "true")
+        if isinstance(field.dataType, T.BooleanType)
+        else F.col(field.name).try_cast(field.dataType)
+        for field in schema
+        if not isinstance(field.dataType, T.StringType)
+    }
+    must_parse = [name for name in typed if not isinstance(schema[name].dataType, T.BooleanType)]
+    failed = reduce(or_, [typed[name].isNull() for name in must_parse], F.lit(False))
+    raw = csv_with_header(spark, path, as_text)
+    record = F.when(failed, F.to_csv(F.struct(*[F.col(name) for name in schema.names])))
+    return raw.select(
+        *[typed.get(name, F.col(name)).alias(name) for name in schema.names],
+        failed.alias("rejected"),
+        record.alias("raw_record"),
+    )
 
 
-def transactions_with_rejects(
+def transactions(
     spark: SparkSession, path: str, schema: T.StructType = schemas.TRANSACTION_FILE
 ) -> DataFrame:
-    """Every row; ``_corrupt_record`` holds the raw line of the ill-typed ones."""
-    schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    return csv_with_header(spark, path, schema, check_unused=True)
+    """The well-typed transaction rows."""
+    rows = transactions_with_rejects(spark, path, schema)
+    return rows.filter(~F.col("rejected")).drop("rejected", "raw_record")
 
 
 def libsvm(spark: SparkSession, path: str, num_features: int) -> DataFrame:
