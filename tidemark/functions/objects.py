@@ -20,6 +20,11 @@ def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)$", 1)
 
 
+def plain_path(path: Column) -> Column:
+    """Path with one slash after the scheme: readers differ in how many they write."""
+    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
 def base64_text(content: Column) -> Column:
     """Base64 in one line; Spark's own function breaks lines after 76 characters."""
     return F.translate(F.base64(content), "\r\n", "")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import objects, text
-from tidemark.sources.files import binary_files
 
 
 def text_stats(df: DataFrame, column: str, *keep: str, unicode_breaks: bool = False) -> DataFrame:
@@ -64,7 +63,11 @@ def stats_of_lines(lines: DataFrame, unicode_breaks: bool = False) -> DataFrame:
 def file_stats(
     spark: SparkSession, path: str, pattern: str = "*", unicode_breaks: bool = False
 ) -> DataFrame:
-    """Counts for every file below ``path``, empty files included."""
+    """Counts for every file below ``path`` that is not empty.
+
+    Spark leaves files without a byte out of its listings; ``listed_stats`` adds
+    them where the names are known from elsewhere, say from upload events.
+    """
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
@@ -72,16 +75,15 @@ def file_stats(
         .text(path)
         .select("value", "_metadata")
     )
-    counted = stats_of_lines(lines, unicode_breaks).select("path", "line_count", "word_count")
-    # Only the listing is used here; the contents are not read a second time.
-    listed = binary_files(spark, path, pattern).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("file_size_bytes"),
-    )
-    return listed.join(counted, "path", "left").select(
-        "path",
-        objects.file_name(F.col("path")).alias("file_name"),
-        F.coalesce("line_count", F.lit(0)).cast("bigint").alias("line_count"),
-        F.coalesce("word_count", F.lit(0)).cast("bigint").alias("word_count"),
-        "file_size_bytes",
+    return stats_of_lines(lines, unicode_breaks)
+
+
+def listed_stats(listed: DataFrame, stats: DataFrame) -> DataFrame:
+    """Counts for every listed ``path``; a file without counts is an empty one."""
+    counts = ("line_count", "word_count", "file_size_bytes")
+    counted = stats.select(objects.plain_path(F.col("path")).alias("_path"), *counts)
+    same_file = objects.plain_path(F.col("path")) == F.col("_path")
+    return listed.join(counted, same_file, "left").select(
+        *listed.columns,
+        *[F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in counts],
     )
