@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
+def struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
 # Space-delimited click file.
-CLICK_FILE = _struct(("date", _S), ("time", _S), ("user_id", _S))
+CLICK_FILE = struct(("date", _S), ("time", _S), ("user_id", _S))
 
 # Dimension and feed files. Dates are read as text and parsed after trimming.
-DIMENSION_FILE = _struct(
+DIMENSION_FILE = struct(
     ("customer_key", _I),
     ("customer_id", _I),
     ("customer_name", _S),
@@ -26,7 +26,7 @@ DIMENSION_FILE = _struct(
     ("effective_end_date", _S),
     ("is_current", T.BooleanType()),
 )
-FEED_FILE = _struct(
+FEED_FILE = struct(
     ("customer_id", _I),
     ("customer_name", _S),
     ("address", _S),
@@ -37,7 +37,7 @@ FEED_FILE = _struct(
 
 # Transaction record as it stands in the CSV file. The zip code is text so that
 # leading zeros survive.
-TRANSACTION_FILE = _struct(
+TRANSACTION_FILE = struct(
     ("customer_id", _S),
     ("transaction_id", _S),
     ("transaction_date", _S),
@@ -66,7 +66,7 @@ TRANSACTION_FILE = _struct(
 # The same record as a message: the publisher adds four columns.
 TRANSACTION_MESSAGE = T.StructType(
     TRANSACTION_FILE.fields
-    + _struct(
+    + struct(
         ("batch_number", _I),
         ("batch_position", _I),
         ("producer_timestamp", _D),
@@ -75,7 +75,7 @@ TRANSACTION_MESSAGE = T.StructType(
 )
 
 # Columns of a keyed message stream, whatever carries it.
-MESSAGE = _struct(
+MESSAGE = struct(
     ("key", _S),
     ("value", _S),
     ("topic", _S),
@@ -85,8 +85,8 @@ MESSAGE = _struct(
 )
 
 # Upload event as it arrives, and the line-count request made from it.
-UPLOAD_EVENT = _struct(("bucket", _S), ("name", _S), ("eventType", _S), ("timeCreated", _S))
-NOTIFICATION = _struct(
+UPLOAD_EVENT = struct(("bucket", _S), ("name", _S), ("eventType", _S), ("timeCreated", _S))
+NOTIFICATION = struct(
     ("bucket_name", _S),
     ("file_name", _S),
     ("event_type", _S),
@@ -100,13 +100,13 @@ NOTIFICATION = _struct(
 )
 
 # Binary files, and images sent as messages.
-BINARY_FILE = _struct(
+BINARY_FILE = struct(
     ("path", _S),
     ("modificationTime", T.TimestampType()),
     ("length", _L),
     ("content", T.BinaryType()),
 )
-IMAGE_MESSAGE = _struct(
+IMAGE_MESSAGE = struct(
     ("image_id", _S),
     ("image_data", _S),
     ("path", _S),
@@ -116,8 +116,8 @@ IMAGE_MESSAGE = _struct(
     ("size", _L),
 )
 
-PREDICTION = _struct(("class", _S), ("desc", _S), ("score", T.FloatType()))
-PREDICTION_TABLE = _struct(
+PREDICTION = struct(("class", _S), ("desc", _S), ("score", T.FloatType()))
+PREDICTION_TABLE = struct(
     ("image_path", _S),
     ("label", _S),
     ("predicted_class", _S),
