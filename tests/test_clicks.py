@@ -6,7 +6,7 @@ from conftest import tuples
 from tidemark import schemas
 from tidemark.functions import clicks as fn
 from tidemark.operators import clicks as op
-from tidemark.sinks.files import write_small_csv
+from tidemark.sinks.files import register_table, write_parquet, write_small_csv
 from tidemark.sources.files import csv_with_header, delimited, text_lines
 
 EXTRA = [
@@ -141,3 +141,14 @@ def test_small_csv_is_one_file(spark, fixtures, tmp_path):
     write_small_csv(counts, str(target))
     assert len(list(target.glob("part-*"))) == 1
     assert sorted(tuple(r) for r in csv_with_header(spark, str(target)).collect()) == tuples(counts)
+
+
+def test_results_are_kept_as_an_external_table(spark, fixtures, tmp_path):
+    counts = op.interval_counts(op.valid_clicks(parsed_fixture(spark, fixtures)))
+    stored = write_parquet(counts, str(tmp_path / "counts"))
+    table = register_table(spark, "interval_results", str(tmp_path / "counts"))
+    assert tuples(table) == tuples(stored) == tuples(counts)
+    query = "SELECT sum(click_count) AS n FROM interval_results"
+    assert spark.sql(query).first()["n"] == 30
+    spark.sql("DROP TABLE interval_results")
+    assert tuples(spark.read.parquet(str(tmp_path / "counts"))) == tuples(counts)

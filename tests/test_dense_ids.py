@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.dense_ids import dense_ids
@@ -47,5 +49,25 @@ def test_stage_reads_back_what_was_written(spark):
 
 
 def test_sizing_follows_the_input():
-    assert sizing(0, 8)["spark.sql.shuffle.partitions"] == "8"
-    assert sizing(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "819200"
+    small, large = sizing(0, 8), sizing(100 * 2**40, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 2**20)
+    assert large["spark.sql.shuffle.partitions"] == "20000"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(2**30)
+
+
+class Session:
+    """The little of a session that finding the shared folder needs."""
+
+    def __init__(self, master, setting=None):
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
+        self.sparkContext = SimpleNamespace(master=master, applicationId="app-" + master)
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_dir(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_dir(Session("local[2]", "/shared")) == "/shared"
+    with pytest.raises(RuntimeError):
+        shared_dir(Session("yarn"))
+    own = shared_dir(Session("local[2]"))
+    assert own == shared_dir(Session("local[2]"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import tuples
 from tidemark import schemas
+from tidemark.functions.scores import top1_of
 from tidemark.operators import scoring
 from tidemark.sinks import streams as sinks
 from tidemark.sources import streams as sources
@@ -66,6 +67,24 @@ def test_unreadable_payloads_are_unknown(spark):
     ]
 
 
+def test_ragged_and_missing_vectors(spark):
+    rows = [(1, [1.0, 2.0]), (2, None), (3, [2.0, 1.0]), (4, [float("nan"), 1.0])]
+    df = spark.createDataFrame(rows, "id int, v array<double>").coalesce(1)
+    udf = scoring.top1_udf("parity", parity_model, CLASSES, mini_batch=1)
+    got = df.select("id", udf(F.col("v")).alias("p")).select("id", "p.desc")
+    assert tuples(got) == [(1, "odd"), (2, "unknown"), (3, "even"), (4, "unknown")]
+
+
+def test_top1_of_probabilities(spark):
+    df = spark.createDataFrame([([0.2, 0.7, 0.1],), ([0.4, 0.4, 0.2],), ([0.1, 0.1, 0.8],)], "p array<double>")
+    got = [tuple(r[0]) for r in df.select(top1_of(F.col("p"), CLASSES)).collect()]
+    assert [(c, d, round(s, 4)) for c, d, s in got] == [
+        ("1", "odd", 0.7),
+        ("0", "even", 0.4),
+        ("2", "class_2", 0.8),
+    ]
+
+
 def test_class_without_a_name(spark):
     df = spark.createDataFrame([([0.0, 1.0],)], "v array<double>")
     udf = scoring.top1_udf("parity-short", parity_model, CLASSES[:1])

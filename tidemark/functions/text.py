@@ -8,22 +8,20 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that end a line and the ones that separate words,
-# written so that Java's and RE2's regular expressions read them alike.
-PLAIN_BREAK = r"\r\n|\n|\r"
-UNICODE_BREAK = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
-PLAIN_BREAK_CHARACTERS = "\n\r"
-UNICODE_BREAK_CHARACTERS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
-WORD = (
-    r"[^\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}"
-    r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-)
+# The characters that end a line. The pattern counts a pair of
+# \r and \n once, by passing over the \r.
+PLAIN_BREAKS = "\n\r"
+UNICODE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85  "
+PLAIN_BREAK = r"[\n\r](?<!\r(?=\n))"
+UNICODE_BREAK = r"[\n-\r\x1c-\x1e\x85\x{2028}\x{2029}](?<!\r(?=\n))"
+# Fixed value: a word is what stands between any kind of white space.
+WORD = r"[^\s\p{Z}\x1c-\x1f\x85]+"
 # Suffixes of the objects that count as text.
 TEXT_SUFFIXES = ("txt", "csv", "log", "md", "py", "js", "html", "xml", "json")
 
 
 def ends_in_break(text: Column, unicode_breaks: bool = False) -> Column:
-    ends = UNICODE_BREAK_CHARACTERS if unicode_breaks else PLAIN_BREAK_CHARACTERS
+    ends = UNICODE_BREAKS if unicode_breaks else PLAIN_BREAKS
     return reduce(or_, [text.endswith(end) for end in ends])
 
 

@@ -19,28 +19,30 @@ def parse_clicks(lines: DataFrame, *keep: str, mode: str = "loose") -> DataFrame
     too few words is MALFORMED; one whose hour is not 0 to 23 is UNKNOWN.
     """
     value = F.col("value")
-    parts = F.split(value, " ") if mode == "single_space" else text.words(value)
     enough = {
         "loose": F.size("parts") >= 2,
         "strict": F.size("parts") == 3,
         "single_space": F.size("parts") >= 3,
     }[mode]
-    parsed = lines.select(*keep, "value", parts.alias("parts")).select(
+    names = ("date", "time", "user_id")
+    fields = [F.when(enough, F.get("parts", F.lit(i))).alias(n) for i, n in enumerate(names)]
+    # inline() of one struct computes the row once. A plain select would be
+    # merged into later filters, which then repeat the splitting per condition.
+    parts = F.split(value, " ") if mode == "single_space" else text.words(value)
+    split = lines.select(*keep, "value", parts.alias("parts")).select(
         *keep,
         "value",
-        enough.alias("tokens_ok"),
-        *[
-            F.when(enough, F.get("parts", F.lit(i))).alias(name)
-            for i, name in enumerate(("date", "time", "user_id"))
-        ],
+        F.inline(F.array(F.struct(F.coalesce(enough, F.lit(False)).alias("tokens_ok"), *fields))),
+    )
+    timed = split.select(
+        "*", F.inline(F.array(F.struct(fn.hour_of(F.col("time")).alias("hour"))))
     )
-    hour = fn.hour_of(F.col("time"))
     interval = fn.time_interval(F.col("hour"))
-    return parsed.withColumn("hour", hour).select(
+    return timed.select(
         "*",
         interval.alias("time_interval"),
-        F.when(~F.coalesce("tokens_ok", F.lit(False)), MALFORMED)
-        .when(interval.isNull(), UNKNOWN)
+        F.when(~F.col("tokens_ok"), MALFORMED)
+        .when(fn.interval_number(F.col("hour")).isNull(), UNKNOWN)
         .otherwise(OK)
         .alias("status"),
     )

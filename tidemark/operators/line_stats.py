@@ -29,33 +29,39 @@ def stats_of_lines(lines: DataFrame, unicode_breaks: bool = False) -> DataFrame:
     ``\\n`` and ends in one of the extra breaks: it then holds no further line.
     """
     line_break = text.UNICODE_BREAK if unicode_breaks else text.PLAIN_BREAK
-    piece = F.regexp_replace("value", r"\r\z", "")
-    ends_in_extra = text.ends_in_break(F.col("value"), unicode_breaks) & ~F.col("value").endswith(
-        "\r"
-    )
-    # Lines of one read task come in file order, so this orders all lines of a file.
-    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
-    placed = lines.select(
-        "value",
+    value = F.col("value")
+    # A \r at the end belongs to the \n, or ends the last line just as well.
+    inner_breaks = F.regexp_count(value, F.lit(line_break)) - value.endswith("\r").cast("int")
+    ends_in_extra = text.ends_in_break(value, unicode_breaks) & ~value.endswith("\r")
+    rows = lines.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("file_size_bytes"),
-        place.alias("place"),
+        F.col("_metadata.file_block_start").alias("block"),
+        (inner_breaks + 1).alias("pieces"),
+        text.word_count(value).alias("words"),
+        (F.octet_length(value) + 1).alias("bytes"),
+        ends_in_extra.alias("ends_in_extra"),
+        # One task reads a block from front to back.
+        F.monotonically_increasing_id().alias("place"),
+    )
+    sums = [F.sum(name).alias(name) for name in ("pieces", "words", "bytes")]
+    per_block = rows.groupBy("path", "file_size_bytes", "block").agg(
+        *sums,
+        F.max("place").alias("last"),
+        F.max(F.when(F.col("ends_in_extra"), F.col("place"))).alias("last_extra"),
     )
-    per_file = placed.groupBy("path", "file_size_bytes").agg(
-        F.sum(F.regexp_count(piece, F.lit(line_break)) + 1).alias("pieces"),
-        F.sum(text.word_count(F.col("value"))).alias("word_count"),
-        F.sum(F.octet_length("value") + 1).alias("bytes_with_breaks"),
-        F.max_by(ends_in_extra, "place").alias("last_ends_in_extra"),
+    per_file = per_block.groupBy("path", "file_size_bytes").agg(
+        *sums, F.max_by(F.col("last").eqNullSafe(F.col("last_extra")), "block").alias("extra_end")
     )
     # One byte more than the file has: no break after the last piece. A byte
     # order mark, three bytes, is not part of the first line.
-    surplus = F.col("bytes_with_breaks") - F.col("file_size_bytes")
-    no_last_line = F.col("last_ends_in_extra") & surplus.isin(1, -2)
+    unfinished = (F.col("bytes") - F.col("file_size_bytes")).isin(1, -2)
+    no_last_line = F.col("extra_end") & unfinished
     return per_file.select(
         "path",
         objects.file_name(F.col("path")).alias("file_name"),
         (F.col("pieces") - no_last_line.cast("int")).cast("bigint").alias("line_count"),
-        "word_count",
+        F.col("words").alias("word_count"),
         "file_size_bytes",
     )
 

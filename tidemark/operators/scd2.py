@@ -119,12 +119,19 @@ def class_counts(classified: DataFrame) -> DataFrame:
 def _changes(
     existing: DataFrame, feed: DataFrame, dim: Dimension, duplicates: str
 ) -> DataFrame:
-    """Feed rows that open a version; ``is_new`` orders new ids after changed ones."""
+    """Feed rows that open a version; ``is_new`` orders new ids after changed ones.
+
+    The open versions are first cut down to the ids of the feed. A small feed is
+    broadcast for that, and the dimension is not shuffled; a large one shares
+    its shuffle with the join below.
+    """
     cur_id, new_id = F.col(f"cur.{dim.business_id}"), F.col(f"new.{dim.business_id}")
+    rows = one_row_per_id(feed, dim, duplicates)
+    fed_ids = rows.select(dim.business_id)
+    touched = existing.filter(is_current(dim)).join(fed_ids, dim.business_id, "left_semi")
     return (
-        one_row_per_id(feed, dim, duplicates)
-        .alias("new")
-        .join(existing.filter(is_current(dim)).alias("cur"), cur_id == new_id, "left")
+        rows.alias("new")
+        .join(touched.alias("cur"), cur_id == new_id, "left")
         .filter(cur_id.isNull() | ~_same_attributes(dim))
         .select("new.*", cur_id.isNull().alias("is_new"))
     )
@@ -191,8 +198,10 @@ def scd2_merge_sql(
         f"""
         SELECT new.*, cur.{bid} IS NULL AS is_new
         FROM {{new}} AS new
-        LEFT JOIN (SELECT * FROM {{existing}} WHERE {current} <=> true) AS cur
-          ON cur.{bid} = new.{bid}
+        LEFT JOIN (
+          SELECT e.* FROM {{existing}} AS e LEFT SEMI JOIN {{new}} AS f ON e.{bid} = f.{bid}
+          WHERE e.{current} <=> true
+        ) AS cur ON cur.{bid} = new.{bid}
         WHERE cur.{bid} IS NULL OR NOT ({same})
         """,
         new=one_row_per_id(feed, dim, duplicates),

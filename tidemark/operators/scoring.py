@@ -48,53 +48,75 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return powers / powers.sum(axis=1, keepdims=True)
 
 
-def as_vector(value: Any) -> np.ndarray:
-    """Decoder for columns that hold the features themselves."""
-    return np.asarray(value, dtype=np.float64)
-
-
-def _try_decode(decode: Callable[[Any], np.ndarray], value: Any) -> np.ndarray | None:
+def _stacked(payloads: pd.Series) -> np.ndarray | None:
+    """All rows as one matrix; None when some row is missing or of another length."""
     try:
-        vector = decode(value)
-    except Exception:  # any unreadable payload is scored as unknown
+        matrix = np.stack(payloads.to_numpy()).astype(np.float64)
+    except (TypeError, ValueError):
         return None
-    return vector if np.all(np.isfinite(vector)) else None
+    return matrix if matrix.ndim == 2 and np.isfinite(matrix).all() else None
+
+
+def _decoded(
+    payloads: pd.Series, decode: Callable[[Any], np.ndarray]
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Places and vectors of the rows that can be decoded."""
+    places, vectors = [], []
+    for place, value in enumerate(payloads):
+        try:
+            vector = np.asarray(decode(value), dtype=np.float64)
+        except Exception:  # any unreadable payload is scored as unknown
+            continue
+        if vector.ndim == 1 and np.isfinite(vector).all():
+            places.append(place)
+            vectors.append(vector)
+    return np.array(places, dtype=int), vectors
 
 
 def _predict(
-    payloads: pd.Series, model: Model, decode: Callable, classes: Sequence[str]
+    payloads: pd.Series,
+    model: Model,
+    classes: Sequence[str],
+    decode: Callable[[Any], np.ndarray] | None,
+    mini_batch: int,
 ) -> pd.DataFrame:
-    rows = [NO_PREDICTION] * len(payloads)
-    decoded = [(i, _try_decode(decode, value)) for i, value in enumerate(payloads)]
-    good = [(i, vector) for i, vector in decoded if vector is not None]
-    for first in range(0, len(good), MINI_BATCH):
-        places, vectors = zip(*good[first : first + MINI_BATCH])
-        probability = softmax(model.logits(np.stack(vectors)))
+    matrix = _stacked(payloads) if decode is None else None
+    if matrix is not None:
+        places, vectors = np.arange(len(matrix)), matrix
+    else:
+        places, vectors = _decoded(payloads, decode or np.asarray)
+    names, descriptions, scores = ([value] * len(payloads) for value in NO_PREDICTION)
+    for first in range(0, len(places), mini_batch):
+        batch = slice(first, first + mini_batch)
+        probability = softmax(model.logits(np.stack(vectors[batch])))
         best = probability.argmax(axis=1)
-        for place, index, row in zip(places, best, probability):
-            name = classes[index] if index < len(classes) else f"class_{index}"
-            rows[place] = (str(index), name, float(row[index]))
-    return pd.DataFrame(rows, columns=["class", "desc", "score"])
+        for place, index, score in zip(places[batch], best, probability.max(axis=1)):
+            names[place] = str(index)
+            descriptions[place] = classes[index] if index < len(classes) else f"class_{index}"
+            scores[place] = score
+    return pd.DataFrame({"class": names, "desc": descriptions, "score": scores})
 
 
 def top1_udf(
     model_id: str,
     load: Callable[[str], Model],
     classes: Sequence[str],
-    decode: Callable[[Any], np.ndarray] = as_vector,
+    decode: Callable[[Any], np.ndarray] | None = None,
+    mini_batch: int = MINI_BATCH,
 ) -> Callable[[Column], Column]:
     """Column function giving the most likely class as ``(class, desc, score)``.
 
     ``load`` runs once per Python worker; let it read large weights from a file
-    that Spark ships. ``decode`` turns one payload into a feature vector; where
-    that fails the row is ``unknown`` with score 0.
+    that Spark ships. ``decode`` turns one payload into a feature vector; without
+    it the column holds the vectors. Rows that cannot be decoded are ``unknown``
+    with score 0. The model sees ``mini_batch`` rows at a time.
     """
 
     @F.pandas_udf(schemas.PREDICTION)
     def top1(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = cached_model(model_id, load)
         for payloads in batches:
-            yield _predict(payloads, model, decode, classes)
+            yield _predict(payloads, model, classes, decode, mini_batch)
 
     return top1
 

@@ -185,11 +185,11 @@ def numbered_batches(
     if max_records:
         rows = rows.orderBy(*order_by).limit(max_records)
     numbered = dense_ids(rows, order_by, name=names.record)
-    before = F.col(names.record) - 1
+    before = f"({names.record} - 1)"
     return numbered.withColumns(
         {
-            names.batch: (F.floor(before / batch_size) + 1).cast("int"),
-            "batch_position": (before % batch_size + 1).cast("int"),
+            names.batch: F.expr(f"CAST({before} DIV {batch_size} + 1 AS INT)"),
+            "batch_position": F.expr(f"CAST({before} % {batch_size} + 1 AS INT)"),
         }
     )
 

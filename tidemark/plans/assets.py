@@ -15,6 +15,7 @@ from tidemark.operators import scoring
 from tidemark.plans.text_objects import object_name
 from tidemark.session import new_path, ship_package
 from tidemark.sinks.streams import to_files
+from tidemark.sources.files import binary_files
 from tidemark.sources.streams import binary_file_stream
 from tidemark.sources.tables import table
 from tidemark.streaming import notifications
@@ -86,6 +87,25 @@ def stream_assets(spark: SparkSession, folder: str) -> DataFrame:
     return stored.groupBy("label").agg(F.sum("bytes").alias("total_bytes"))
 
 
+def text_size(content: bytes) -> tuple[int, int]:
+    """Size of a text seen as a picture: its longest line by its lines."""
+    lines = content.decode().removesuffix("\n").split("\n")
+    return max(map(len, lines)), len(lines)
+
+
+def asset_dims(spark: SparkSession, folder: str) -> DataFrame:
+    """Largest width and total height per label over the written files."""
+    ship_package(spark)
+    files = binary_files(spark, _written_assets(spark, folder), "*.txt")
+    label = scoring.objects.path_label(F.col("path"))
+    sizes = files.select(
+        label.alias("label"), scoring.dims_udf(text_size)(F.col("content")).alias("size")
+    )
+    return sizes.groupBy("label").agg(
+        F.max("size.width").alias("largest_width"), F.sum("size.height").alias("total_height")
+    )
+
+
 # Event types given to documents in turn by language; the last is for all others.
 _EVENT_TYPES = {"en": "OBJECT_FINALIZE", "fr": "object.create", "de": "OBJECT_DELETE"}
 _OTHER_EVENT = "metadata.update"
@@ -158,6 +178,7 @@ QUERIES = {
         asset_label_counts,
         asset_catalog,
         stream_assets,
+        asset_dims,
         notification_filter,
         notification_messages,
         notification_route,
@@ -199,6 +220,12 @@ FROM results ORDER BY vec_id DESC LIMIT 5""",
 SELECT source AS label, count(*) AS assets FROM documents GROUP BY source""",
     "asset_catalog": _BYTES,
     "stream_assets": _BYTES,
+    "asset_dims": """
+SELECT 'source=' || source AS label,
+  CAST(max(list_max(list_transform(string_split(text, chr(10)), lambda x: length(x)))) AS INTEGER)
+    AS largest_width,
+  CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS total_height
+FROM documents GROUP BY source""",
     "notification_filter": f"""WITH {_EVENTS}
 SELECT doc_id, name, "eventType" FROM wanted""",
     "notification_messages": f"""WITH {_EVENTS}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import scd2
 from tidemark.operators.dense_ids import dense_ids as number_rows
-from tidemark.session import new_path
+from tidemark.session import new_path, stage
 from tidemark.sources.files import dimension_file
 from tidemark.sources.tables import table
 
@@ -82,7 +82,8 @@ def scd2_merge_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 def scd2_merge_twice(spark: SparkSession, folder: str) -> DataFrame:
     """The second merge of the same feed changes nothing."""
-    return scd2.scd2_merge(scd2_merge(spark, folder), feed(spark, folder), DIM)
+    merged = stage(scd2_merge(spark, folder), "dimension")
+    return scd2.scd2_merge(merged, feed(spark, folder), DIM)
 
 
 def scd2_summary(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,19 +10,26 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-PARTITION_BYTES = 128 * 1024 * 1024
+MEBIBYTE = 1024 * 1024
+PARTITION_BYTES = 128 * MEBIBYTE
+LARGEST_SPLIT_BYTES = 1024 * MEBIBYTE
+MOST_SCAN_TASKS = 100_000
+MOST_SHUFFLE_PARTITIONS = 20_000
 
 
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
-    """Shuffle and scan settings that keep one partition near 128 MB.
+    """Scan and shuffle settings for an input of known size.
 
-    AQE merges small shuffle partitions at run time but never makes a huge one
-    smaller before it spills, so the starting number has to follow the input.
+    Partitions are kept near 128 MB as long as their number allows: a shuffle
+    moves one block per pair of map task and partition, so both are bounded and
+    very large inputs get larger splits instead. AQE still merges what turns out
+    small, as the jobs shuffle partial sums far below the size of the input.
     """
-    partitions = max(cores, math.ceil(input_bytes / PARTITION_BYTES))
+    split = max(PARTITION_BYTES, min(LARGEST_SPLIT_BYTES, input_bytes // MOST_SCAN_TASKS))
+    partitions = min(MOST_SHUFFLE_PARTITIONS, math.ceil(input_bytes / PARTITION_BYTES))
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.shuffle.partitions": str(max(cores, partitions)),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
     }
 
@@ -38,6 +45,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Rows with file contents are large; a batch for Python stays bounded.
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * MEBIBYTE),
         "spark.ui.enabled": "false",
     }
     settings.update(conf)
@@ -46,6 +55,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -55,11 +67,12 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _local_folders[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,12 @@ def write_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """External table over stored parquet, replacing one of the same name."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.catalog.createTable(name, path, source="parquet")
+
+
 def write_report(rows: DataFrame, path: str) -> None:
     """Report rows ``(position, section, name, value)`` as one text file."""
     line = F.concat_ws(" ", F.concat("section", F.lit("."), "name", F.lit(":")), "value")
