@@ -10,6 +10,7 @@ from conftest import tuples
 from tidemark import schemas
 from tidemark.operators import transactions as op
 from tidemark.sinks import streams as sinks
+from tidemark.sinks.files import write_messages
 from tidemark.sources import streams as sources
 from tidemark.streaming import batch_log, messages, notifications
 from tidemark.streaming.arrivals import stream_line_counts
@@ -266,3 +267,6 @@ def test_kafka_is_only_named_here(spark):
         sources.message_stream(spark, "kafka", servers="localhost:1", topic="t", starting="earliest")
     with pytest.raises(ValueError):
         sources.message_stream(spark, "pigeon")
+    messages_out = spark.createDataFrame([("k", "{}")], "key string, value string")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        write_messages(messages_out, "localhost:1", "t")
