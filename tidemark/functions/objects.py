@@ -27,7 +27,7 @@ def plain_path(path: Column) -> Column:
 
 def base64_text(content: Column) -> Column:
     """Base64 in one line; Spark's own function breaks lines after 76 characters."""
-    return F.translate(F.base64(content), "\r\n", "")
+    return F.replace(F.base64(content), F.lit("\r\n"), F.lit(""))
 
 
 def bytes_of_base64(text: Column) -> Column:

@@ -158,21 +158,39 @@ def interval_detail(
     )
 
 
-def user_activity(clicks: DataFrame, top: int | None = 10) -> DataFrame:
+def user_activity(
+    clicks: DataFrame, top: int | None = 10, style: str = "plain"
+) -> DataFrame:
     """Clicks and active intervals per user, the ``top`` busiest first.
 
-    ``intervals`` lists each interval with its clicks, at most four entries:
-    the same multiset as a list of one entry per click, which would not fit in
-    one row for a user who owns a third of the log. Ties go to the smaller id.
+    ``intervals`` lists each interval with its clicks, at most four entries in
+    order of their labels: the same multiset as a list of one entry per click,
+    which would not fit in one row for a user who owns a third of the log. As
+    the intervals are known, four counters per user are enough, and one shuffle.
+    Ties go to the smaller id.
     """
-    per_interval = clicks.groupBy("user_id", "time_interval").agg(F.count("*").alias("clicks"))
-    activity = per_interval.groupBy("user_id").agg(
-        F.sum("clicks").alias("total_clicks"),
-        F.count("*").alias("active_intervals"),
-        F.array_sort(F.collect_list(F.struct("time_interval", "clicks"))).alias("intervals"),
+    labels = sorted(fn.INTERVAL_LABELS[style])
+    in_interval = F.col("time_interval")
+    counted = clicks.groupBy("user_id").agg(
+        F.count("*").alias("total_clicks"),
+        *[F.count_if(in_interval == label).alias(f"clicks_{i}") for i, label in enumerate(labels)],
+    )
+    ranked = counted.orderBy(F.desc("total_clicks"), "user_id")
+    if top:
+        ranked = ranked.limit(top)
+    entries = F.array(
+        *[
+            F.struct(F.lit(label).alias("time_interval"), F.col(f"clicks_{i}").alias("clicks"))
+            for i, label in enumerate(labels)
+        ]
+    )
+    active = F.filter(entries, lambda entry: entry["clicks"] > 0)
+    return ranked.select(
+        "user_id",
+        "total_clicks",
+        F.size(active).cast("bigint").alias("active_intervals"),
+        active.alias("intervals"),
     )
-    ranked = activity.orderBy(F.desc("total_clicks"), "user_id")
-    return ranked.limit(top) if top else ranked
 
 
 def user_clicks(clicks: DataFrame, top: int | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ their names, some of them invalid by a rule on the document id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +18,10 @@ from tidemark.plans.text_objects import object_name
 from tidemark.session import new_path, ship_package
 from tidemark.sinks.streams import to_files
 from tidemark.sources.files import binary_files
-from tidemark.sources.streams import binary_file_stream
-from tidemark.sources.tables import table
+from tidemark.sources.streams import binary_file_stream, notification_stream
+from tidemark.sources.tables import table, table_stream
 from tidemark.streaming import notifications
-from tidemark.streaming.assets import labeled_files
+from tidemark.streaming.assets import labeled_files, score_stream
 
 WIDTH = 64
 CLASSES = tuple(f"kind {i}" for i in range(10))
@@ -33,21 +35,40 @@ def sine_model(model_id: str) -> scoring.Model:
     return scoring.LinearModel(np.sin(classes * features))
 
 
-def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    ship_package(spark)
-    top1 = scoring.top1_udf(MODEL, sine_model, CLASSES)
-    path = F.concat(F.lit("vectors/"), "label", F.lit("/"), "vec_id")
-    rows = table(spark, folder, "embeddings").select(
-        "vec_id", path.alias("path"), F.col("label").cast("string").alias("label"), "embedding"
+def _vectors(embeddings: DataFrame) -> DataFrame:
+    """Embeddings in the columns of an asset: path, label, content."""
+    return embeddings.select(
+        F.concat(F.lit("vectors/"), "label", F.lit("/"), "vec_id").alias("path"),
+        F.col("label").cast("string").alias("label"),
+        F.col("embedding").alias("content"),
+        "vec_id",
     )
-    return rows.withColumn("prediction", top1(F.col("embedding")))
+
+
+def _top1(spark: SparkSession) -> Callable[[Column], Column]:
+    ship_package(spark)
+    return scoring.top1_udf(MODEL, sine_model, CLASSES)
+
+
+def _rounded(results: DataFrame) -> DataFrame:
+    return results.withColumn("confidence", F.round(F.col("confidence").cast("double"), 4))
 
 
 def _results(spark: SparkSession, folder: str) -> DataFrame:
     """The result table; a row counts as processed as many seconds in as its id says."""
+    vectors = _vectors(table(spark, folder, "embeddings"))
+    scored = vectors.withColumn("prediction", _top1(spark)(F.col("content")))
     processed_at = F.timestamp_seconds("vec_id").cast("timestamp_ntz")
-    results = scoring.prediction_table(_scored(spark, folder), processed_at=processed_at)
-    return results.withColumn("confidence", F.round(F.col("confidence").cast("double"), 4))
+    return _rounded(scoring.prediction_table(scored, processed_at=processed_at))
+
+
+def stream_score_top1(spark: SparkSession, folder: str) -> DataFrame:
+    """The predictions by a stream that scores once and stores two results."""
+    target, checkpoint = new_path(spark, "scores"), new_path(spark, "scores-checkpoint")
+    vectors = _vectors(table_stream(spark, folder, "embeddings"))
+    score_stream(vectors, _top1(spark), target, checkpoint).awaitTermination()
+    stored = spark.read.parquet(f"{target}/predictions")
+    return _rounded(stored.drop("processed_at", "batch_id"))
 
 
 def score_top1(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,7 +167,7 @@ def notification_messages(spark: SparkSession, folder: str) -> DataFrame:
     return notifications.line_count_requests(uploads, "file", size=F.col("size"))
 
 
-def notification_route(spark: SparkSession, folder: str) -> DataFrame:
+def _requests(spark: SparkSession, folder: str) -> DataFrame:
     """Requests for all documents, some damaged in one of three ways."""
     requests = notifications.line_count_requests(
         table(spark, folder, "documents").select(
@@ -166,14 +187,30 @@ def notification_route(spark: SparkSession, folder: str) -> DataFrame:
         .when(name % 7 == 3, F.concat(F.lit("not json "), "value"))
         .otherwise(F.col("value"))
     )
-    routed = notifications.route_notifications(requests.withColumn("value", damaged), "key")
+    return requests.withColumn("value", damaged)
+
+
+def notification_route(spark: SparkSession, folder: str) -> DataFrame:
+    routed = notifications.route_notifications(_requests(spark, folder), "key")
     return routed.select("key", "bucket_name", "file_name", "route")
 
 
+def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests and rejects as a stream stores them, counted by route."""
+    source, target = new_path(spark, "requests"), new_path(spark, "routed")
+    _requests(spark, folder).select("value").write.text(source)
+    notifications.process_notifications(
+        notification_stream(spark, source), target, new_path(spark, "routed-checkpoint")
+    ).awaitTermination()
+    stored = [spark.read.parquet(f"{target}/{name}") for name in ("requests", "rejects")]
+    return stored[0].unionByName(stored[1]).groupBy("route").agg(F.count("*").alias("messages"))
+
+
 QUERIES = {
     function.__name__: function
     for function in (
         score_top1,
+        stream_score_top1,
         latest_predictions,
         asset_label_counts,
         asset_catalog,
@@ -182,6 +219,7 @@ QUERIES = {
         notification_filter,
         notification_messages,
         notification_route,
+        stream_notifications,
     )
 }
 
@@ -209,9 +247,12 @@ _BYTES = """
 SELECT 'source=' || source AS label, CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes
 FROM documents GROUP BY source"""
 
+_PREDICTIONS = f"""WITH {_SCORES}
+SELECT image_path, label, predicted_class, predicted_description, confidence FROM results"""
+
 SQL = {
-    "score_top1": f"""WITH {_SCORES}
-SELECT image_path, label, predicted_class, predicted_description, confidence FROM results""",
+    "score_top1": _PREDICTIONS,
+    "stream_score_top1": _PREDICTIONS,
     "latest_predictions": f"""WITH {_SCORES}
 SELECT image_path, label, predicted_class, predicted_description, confidence,
   TIMESTAMP '1970-01-01' + vec_id * INTERVAL 1 SECOND AS processed_at
@@ -243,4 +284,8 @@ SELECT 'file://' || source || '/' || CASE WHEN doc_id % 7 <> 1 THEN doc_id::VARC
   CASE doc_id % 7 WHEN 1 THEN 'missing_fields' WHEN 2 THEN 'other_request' WHEN 3 THEN 'bad_json'
        ELSE 'ok' END AS route
 FROM documents""",
+    "stream_notifications": """
+SELECT CASE doc_id % 7 WHEN 1 THEN 'missing_fields' WHEN 2 THEN 'other_request'
+            WHEN 3 THEN 'bad_json' ELSE 'ok' END AS route, count(*) AS messages
+FROM documents GROUP BY 1""",
 }

@@ -86,6 +86,21 @@ def scd2_merge_twice(spark: SparkSession, folder: str) -> DataFrame:
     return scd2.scd2_merge(merged, feed(spark, folder), DIM)
 
 
+def scd2_merge_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed with many rows per customer: every order, of which the last one counts.
+
+    The feed sets the segment only; its dates lie ten years after the orders.
+    """
+    orders = table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderpriority").alias("segment"),
+        F.add_months(F.col("o_orderdate").cast("date"), 120).alias("source_date"),
+    )
+    dim = scd2.Dimension(attributes=("segment",))
+    before = existing(spark, folder).select(*dim.columns)
+    return scd2.scd2_merge(before, orders, dim, duplicates="latest")
+
+
 def scd2_summary(spark: SparkSession, folder: str) -> DataFrame:
     return scd2.scd2_summary(scd2_merge(spark, folder), DIM)
 
@@ -139,6 +154,7 @@ QUERIES = {
         scd2_merge,
         scd2_merge_sql,
         scd2_merge_twice,
+        scd2_merge_latest,
         scd2_summary,
         scd2_history_kept,
         anti_by_subquery,
@@ -201,6 +217,25 @@ SELECT record_type, count(*) AS records FROM classified GROUP BY 1""",
     "scd2_merge": f"WITH {_MERGED} SELECT * FROM merged",
     "scd2_merge_sql": f"WITH {_MERGED} SELECT * FROM merged",
     "scd2_merge_twice": f"WITH {_MERGED} SELECT * FROM merged",
+    "scd2_merge_latest": f"""WITH {_INPUTS},
+ranked AS (
+  SELECT o_custkey AS customer_id, o_orderpriority AS segment,
+    CAST(CAST(o_orderdate AS DATE) + INTERVAL 10 YEAR AS DATE) AS source_date,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderpriority DESC) AS r
+  FROM orders),
+latest AS (
+  SELECT f.*, c.customer_id IS NULL AS is_new
+  FROM ranked f LEFT JOIN (SELECT * FROM existing WHERE is_current) c USING (customer_id)
+  WHERE r = 1 AND f.segment IS DISTINCT FROM c.segment)
+SELECT e.customer_key, e.customer_id, e.segment, e.effective_start_date,
+  CASE WHEN e.is_current AND l.customer_id IS NOT NULL THEN l.source_date
+       ELSE e.effective_end_date END AS effective_end_date,
+  e.is_current AND l.customer_id IS NULL AS is_current
+FROM existing e LEFT JOIN (SELECT * FROM latest WHERE NOT is_new) l USING (customer_id)
+UNION ALL
+SELECT (SELECT max(customer_key) FROM existing) + row_number() OVER (ORDER BY is_new, customer_id),
+  customer_id, segment, source_date, DATE '9999-12-31', true
+FROM latest""",
     "scd2_summary": f"""WITH {_MERGED}
 SELECT count(*) AS total_records, count(*) FILTER (is_current) AS current_records,
   count(*) FILTER (NOT is_current) AS historical_records,

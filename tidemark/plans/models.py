@@ -18,6 +18,7 @@ from tidemark.sources.tables import table, table_path
 
 WIDTH = 64
 FOLDS = 3
+PARALLEL_FITS = 4
 
 
 def _rounded(rows: DataFrame, *names: str) -> DataFrame:
@@ -83,7 +84,9 @@ def tree_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, folder: str) -> DataFrame:
-    model = trees.train_tree_cv(_vectors(spark, folder), folds=FOLDS, fold_by="vec_id")
+    model = trees.train_tree_cv(
+        _vectors(spark, folder), folds=FOLDS, parallelism=PARALLEL_FITS, fold_by="vec_id"
+    )
     return trees.cv_table(spark, model)
 
 
