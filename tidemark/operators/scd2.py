@@ -53,11 +53,10 @@ def one_row_per_id(feed: DataFrame, dim: Dimension, duplicates: str) -> DataFram
     )
     if duplicates == "error":
         message = F.concat(F.lit("duplicate id in feed: "), F.col(dim.business_id).cast("string"))
-        # The check sits in the id column itself, so no pruning can remove it.
-        checked = F.when(F.col("copies") == 1, F.col(dim.business_id)).otherwise(
-            F.raise_error(message).cast(feed.schema[dim.business_id].dataType)
-        )
-        grouped = grouped.withColumn(dim.business_id, checked)
+        # The check is in the attributes, which every use compares or stores; the
+        # id stays a plain grouping column, so its partitioning carries over.
+        only_row = F.when(F.col("copies") == 1, F.col("row")).otherwise(F.raise_error(message))
+        grouped = grouped.withColumn("row", only_row)
     elif duplicates != "latest":
         raise ValueError(f"unknown policy for duplicate ids: {duplicates}")
     return grouped.select(dim.business_id, "row.*")

@@ -118,7 +118,8 @@ def top1_udf(
         for payloads in batches:
             yield _predict(payloads, model, classes, decode, mini_batch)
 
-    return top1
+    # Keeps later filters on the prediction from scoring the rows again.
+    return top1.asNondeterministic()
 
 
 def dims_udf(size_of: Callable[[bytes], tuple[int, int]]) -> Callable[[Column], Column]:

@@ -34,7 +34,12 @@ def parse_messages(raw: DataFrame, schema: T.StructType, *keep: str) -> DataFram
     data = F.from_json(unwrapped(value), with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
     bad = F.col("data").isNull() | F.col(f"data.{_CORRUPT}").isNotNull()
     status = F.when(bad, BAD_JSON).when(F.col("quoted"), DOUBLE_ENCODED).otherwise(OK)
-    return raw.select(*keep, _is_quoted(value).alias("quoted"), data.alias("data")).select(
+    # explode() of one value computes it once; from a plain select it would be
+    # merged into later filters and parsed again there.
+    parsed = raw.select(
+        *keep, _is_quoted(value).alias("quoted"), F.explode(F.array(data)).alias("data")
+    )
+    return parsed.select(
         *keep,
         *[F.col(f"data.{name}").alias(name) for name in schema.names],
         status.alias("parse_status"),
