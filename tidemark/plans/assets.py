@@ -233,7 +233,8 @@ results AS (
     CAST(label AS VARCHAR) AS label,
     CAST(list_position(z, list_max(z)) - 1 AS VARCHAR) AS predicted_class,
     'kind ' || (list_position(z, list_max(z)) - 1) AS predicted_description,
-    round(1 / list_sum(list_transform(z, lambda v: exp(v - list_max(z)))), 4) AS confidence
+    round(CAST(CAST(1 / list_sum(list_transform(z, lambda v: exp(v - list_max(z)))) AS FLOAT)
+      AS DOUBLE), 4) AS confidence
   FROM logits)"""
 _NAME = """(CASE WHEN doc_id % 5 = 0 THEN 'archive' ELSE 'flower_photos' END || '/' || source || '/'
   || doc_id || '.' || ['txt', 'csv', 'log', 'md', 'py', 'js', 'html', 'XML', 'json', 'jpg', 'bin',
