@@ -58,7 +58,8 @@ def _results(spark: SparkSession, folder: str) -> DataFrame:
     """The result table; a row counts as processed as many seconds in as its id says."""
     vectors = _vectors(table(spark, folder, "embeddings"))
     scored = vectors.withColumn("prediction", _top1(spark)(F.col("content")))
-    processed_at = F.timestamp_seconds("vec_id").cast("timestamp_ntz")
+    seconds = F.make_dt_interval(secs=F.col("vec_id").cast("decimal(18,6)"))
+    processed_at = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + seconds
     return _rounded(scoring.prediction_table(scored, processed_at=processed_at))
 
 
