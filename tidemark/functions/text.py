@@ -25,6 +25,18 @@ def ends_in_break(text: Column, unicode_breaks: bool = False) -> Column:
     return reduce(or_, [text.endswith(end) for end in ends])
 
 
+def inner_breaks(line: Column, unicode_breaks: bool = False) -> Column:
+    """Breaks inside a line that was cut at ``\\n``; few lines have any.
+
+    Looking for the characters is much cheaper than the pattern, so that runs
+    only where one was found.
+    """
+    ends = UNICODE_BREAKS if unicode_breaks else PLAIN_BREAKS
+    found = reduce(or_, [line.contains(end) for end in ends if end != "\n"])
+    line_break = UNICODE_BREAK if unicode_breaks else PLAIN_BREAK
+    return F.when(found, F.regexp_count(line, F.lit(line_break))).otherwise(0)
+
+
 def line_count(text: Column, unicode_breaks: bool = False) -> Column:
     """Lines of a text: a final break adds none, an empty text has none.
 

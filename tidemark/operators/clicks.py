@@ -24,21 +24,25 @@ def parse_clicks(lines: DataFrame, *keep: str, mode: str = "loose") -> DataFrame
         "strict": F.size("parts") == 3,
         "single_space": F.size("parts") >= 3,
     }[mode]
-    names = ("date", "time", "user_id")
-    fields = [F.when(enough, F.get("parts", F.lit(i))).alias(n) for i, n in enumerate(names)]
+    words = {
+        name: F.when(enough, F.get("parts", F.lit(place)))
+        for place, name in enumerate(("date", "time", "user_id"))
+    }
+    fields = {
+        "tokens_ok": F.coalesce(enough, F.lit(False)),
+        **words,
+        "hour": fn.hour_of(words["time"]),
+    }
     # inline() of one struct computes the row once. A plain select would be
     # merged into later filters, which then repeat the splitting per condition.
     parts = F.split(value, " ") if mode == "single_space" else text.words(value)
     split = lines.select(*keep, "value", parts.alias("parts")).select(
         *keep,
         "value",
-        F.inline(F.array(F.struct(F.coalesce(enough, F.lit(False)).alias("tokens_ok"), *fields))),
-    )
-    timed = split.select(
-        "*", F.inline(F.array(F.struct(fn.hour_of(F.col("time")).alias("hour"))))
+        F.inline(F.array(F.struct(*[field.alias(name) for name, field in fields.items()]))),
     )
     interval = fn.time_interval(F.col("hour"))
-    return timed.select(
+    return split.select(
         "*",
         interval.alias("time_interval"),
         F.when(~F.col("tokens_ok"), MALFORMED)

@@ -28,10 +28,9 @@ def stats_of_lines(lines: DataFrame, unicode_breaks: bool = False) -> DataFrame:
     has inner breaks. The single exception is a file whose last piece has no
     ``\\n`` and ends in one of the extra breaks: it then holds no further line.
     """
-    line_break = text.UNICODE_BREAK if unicode_breaks else text.PLAIN_BREAK
     value = F.col("value")
     # A \r at the end belongs to the \n, or ends the last line just as well.
-    inner_breaks = F.regexp_count(value, F.lit(line_break)) - value.endswith("\r").cast("int")
+    inner_breaks = text.inner_breaks(value, unicode_breaks) - value.endswith("\r").cast("int")
     ends_in_extra = text.ends_in_break(value, unicode_breaks) & ~value.endswith("\r")
     rows = lines.select(
         F.col("_metadata.file_path").alias("path"),
