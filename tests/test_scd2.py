@@ -199,7 +199,7 @@ def merge_in_python(dimension, feed):
 @pytest.mark.parametrize("seed", range(4))
 def test_random_feeds_against_brute_force(spark, seed):
     rng = random.Random(seed)
-    dimension, key, day = [], 0, date(2024, 1, 1)
+    dimension, day = [], date(2024, 1, 1)
     for step in range(3):
         day += timedelta(days=10)
         ids = rng.sample(range(40), rng.randint(0, 30))
@@ -213,7 +213,12 @@ def test_random_feeds_against_brute_force(spark, seed):
         assert len(set(keys)) == len(keys)
         open_ids = [r[1] for r in got if r[6]]
         assert len(set(open_ids)) == len(open_ids)
-        key = max(keys, default=key)
+        by_id = {}
+        for row in sorted(got, key=lambda r: (r[1], r[4], r[5])):
+            by_id.setdefault(row[1], []).append(row)
+        for versions in by_id.values():
+            assert versions[-1][6]
+            assert all(a[5] <= b[4] for a, b in zip(versions, versions[1:]))
 
 
 @pytest.mark.parametrize("closed_end", [False, True])

@@ -153,7 +153,6 @@ def upload_events(spark: SparkSession, folder: str) -> DataFrame:
         _event_type().alias("eventType"),
         F.lit("2024-01-15T00:00:00Z").alias("timeCreated"),
         F.octet_length("text").alias("size"),
-        scoring.objects.file_name(F.col("source")).alias("folder"),
     )
 
 
@@ -241,10 +240,17 @@ _NAME = """(CASE WHEN doc_id % 5 = 0 THEN 'archive' ELSE 'flower_photos' END ||
   || doc_id || '.' || ['txt', 'csv', 'log', 'md', 'py', 'js', 'html', 'XML', 'json', 'jpg', 'bin',
   'gz'][doc_id % 12 + 1])"""
 _EVENTS = f"""
+uploads AS (
+  SELECT doc_id, source, strlen(text) AS size,
+    CASE WHEN doc_id % 11 = 0 THEN source || '/' WHEN doc_id % 13 = 0 THEN '.' || source
+         ELSE {_NAME} END AS name,
+    CASE lang WHEN 'en' THEN 'OBJECT_FINALIZE' WHEN 'fr' THEN 'object.create'
+              WHEN 'de' THEN 'OBJECT_DELETE' ELSE 'metadata.update' END AS "eventType"
+  FROM documents),
 wanted AS (
-  SELECT doc_id, source, {_NAME} AS name, strlen(text) AS size,
-    CASE lang WHEN 'en' THEN 'OBJECT_FINALIZE' ELSE 'object.create' END AS "eventType"
-  FROM documents WHERE lang IN ('en', 'fr') AND doc_id % 11 <> 0 AND doc_id % 13 <> 0)"""
+  SELECT * FROM uploads
+  WHERE regexp_matches(lower("eventType"), 'finalize|create')
+    AND NOT ends_with(name, '/') AND NOT starts_with(name, '.'))"""
 _BYTES = """
 SELECT 'source=' || source AS label, CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes
 FROM documents GROUP BY source"""

@@ -231,8 +231,14 @@ SELECT event_id, date, time, user_id, time_interval FROM parsed WHERE status = '
     "click_parse_single_space": f"""WITH {_SINGLE}
 SELECT event_id, date, time, user_id, hour FROM parsed WHERE status = 'OK'""",
     "click_regex_valid": r"""
-SELECT event_id, strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H:%M:%S') AS time, user_id
-FROM events WHERE event_id % 97 <> 0""",
+SELECT * FROM (
+  SELECT event_id,
+    CASE WHEN event_id % 97 = 0 THEN strftime(ts, '%d-%b') ELSE strftime(ts, '%Y-%m-%d') END AS date,
+    CASE WHEN event_id % 97 = 0 THEN strftime(ts, '%H:%M') ELSE strftime(ts, '%H:%M:%S') END AS time,
+    user_id
+  FROM events)
+WHERE regexp_matches(date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')
+  AND regexp_matches(time, '^[0-9]{2}:[0-9]{2}:[0-9]{2}$') AND user_id IS NOT NULL""",
     "click_quality": f"""WITH {_LOOSE}
 SELECT count(*) AS total_lines,
   count(*) FILTER (status = 'OK') AS valid_lines,
