@@ -103,17 +103,23 @@ def distances(fingerprint: Column, max_bits: int) -> Column:
     return F.array(*[to(word).cast("tinyint") for word in words])
 
 
-def _cells(row: Column, max_bits: int) -> Column:
-    """One cell for each two blocks: a hash of what the distances say about them."""
-    beyond_zero = F.transform(row, lambda x: x - F.element_at(row, 1))
-    starts, at = [], 2
+def _block_keys(fingerprint: Column, max_bits: int) -> Column:
+    """For each block a hash of its pivots' distances less the distance to zero."""
+    to_zero = F.bit_count(fingerprint)
+    keys = []
     for block in blocks(max_bits):
-        starts.append((at, len(pivots(block))))
-        at += starts[-1][1]
+        to = [F.bit_count(fingerprint.bitwiseXOR(F.lit(pivot))) for pivot in pivots(block)]
+        keys.append(F.xxhash64(*[distance - to_zero for distance in to]))
+    return F.array(*keys)
+
+
+def _cells(keys: Column, max_bits: int) -> Column:
+    """One cell for each two blocks."""
+    pairs = combinations(range(1, max_bits + 3), 2)
     return F.array(
         *[
-            F.xxhash64(F.lit(number), *[F.slice(beyond_zero, *starts[k]) for k in pair])
-            for number, pair in enumerate(combinations(range(len(starts)), 2))
+            F.xxhash64(F.lit(number), F.element_at(keys, a), F.element_at(keys, b))
+            for number, (a, b) in enumerate(pairs)
         ]
     )
 
@@ -134,7 +140,11 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if max_bits not in (1, 2):
         raise ValueError("max_bits must be 1 or 2")
     row = distances(F.col("fp"), max_bits)
-    cells = fingerprints.select("fp", F.explode(_cells(row, max_bits)).alias("cell"))
+    # Written before they are combined, so that each distance is taken once.
+    keyed = stage(
+        fingerprints.select("fp", _block_keys(F.col("fp"), max_bits).alias("keys")), "block-keys"
+    )
+    cells = keyed.select("fp", F.explode(_cells(F.col("keys"), max_bits)).alias("cell"))
     crowds = cells.groupBy("cell").agg(F.count("*").alias("members")).where("members > 1")
     shared = stage(cells.join(crowds, "cell"), "cells")
 
