@@ -1,6 +1,7 @@
 """Packing of tokenized documents into sequences by bounded-space online best fit.
 
-Each task takes its pieces as they come and holds a fixed number of open bins.
+Each task takes its pieces one by one, the longest first, and holds a fixed
+number of open bins.
 A bitset has one bit for each amount of free space that an open bin has, so the
 tightest bin that still takes a piece is the lowest set bit at or above the
 piece's length. When a new bin is needed and all are open, the fullest closes.
@@ -22,7 +23,7 @@ from tidemark.llm.bpe import SEPARATOR_ID, pieces_of
 from tidemark.session import ship_package, stage
 
 SEQUENCE_TOKENS = 2048
-OPEN_BINS = 1024
+OPEN_BINS = 1 << 14
 PIECES_PER_TASK = 50_000
 _TASK_BITS = 40
 
@@ -134,7 +135,8 @@ def pack(
             offset = pa.array([at for _, at in placed], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, sequence, offset], schema=_PLACED)
 
-    return stored.repartition(tasks).mapInArrow(
+    dealt = stored.repartition(tasks)
+    return dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece").mapInArrow(
         run,
         "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint,"
         " sequence_id bigint, offset bigint",
