@@ -15,7 +15,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tests_llm_helpers import rows_of
+from tests_llm_helpers import docs_of, rows_of  # noqa: F401 (fixtures)
 
 import corpus_pipeline
 from tidemark.llm import pii, plans, quality, secret_scan, simhash_pivots, tiling, warc

@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tests_llm_helpers import rows_of
+from tests_llm_helpers import docs_of, rows_of, texts  # noqa: F401 (fixtures)
 from xxhash import xxh64_intdigest
 
 from tidemark.llm import fingerprints, licenses, simhash_pivots

@@ -13,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tests_llm_helpers import rows_of
+from tests_llm_helpers import docs_of, rows_of, texts  # noqa: F401 (fixtures)
 
 from tidemark.llm import best_fit, bpe, quality, tiling, token_trees
 from tidemark.llm.plans import QUERIES, three_edits, tokenizer_path
