@@ -152,3 +152,9 @@ def test_results_are_kept_as_an_external_table(spark, fixtures, tmp_path):
     assert spark.sql(query).first()["n"] == 30
     spark.sql("DROP TABLE interval_results")
     assert tuples(spark.read.parquet(str(tmp_path / "counts"))) == tuples(counts)
+
+
+def test_top_of_none(spark):
+    clicks = spark.createDataFrame([("u1",), ("u2",)], "user_id string")
+    assert op.user_clicks(clicks, top=0).count() == 0
+    assert op.user_clicks(clicks).count() == 2

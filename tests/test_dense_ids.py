@@ -52,7 +52,9 @@ def test_sizing_follows_the_input():
     small, large = sizing(0, 8), sizing(100 * 2**40, 4000)
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 2**20)
-    assert large["spark.sql.shuffle.partitions"] == "20000"
+    assert large["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (128 * 2**20))
+    less = sizing(100 * 2**40, 4000, shuffled_bytes=2**40)
+    assert less["spark.sql.shuffle.partitions"] == str(2**40 // (128 * 2**20))
     assert large["spark.sql.files.maxPartitionBytes"] == str(2**30)
 
 

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from tidemark import schemas
 from tidemark.operators import scd2, scoring
+from tidemark.plans import all_queries
 from tidemark.plans.assets import CLASSES, sine_model
 from tidemark.sinks.tables import save_bucketed
 from tidemark.sources.files import dimension_file, feed_file
 from tidemark.streaming.messages import parse_messages
 
 FOLDER = entry_module.SMOKE_FOLDER
-QUERIES = entry_module.queries()
-WITH_PYTHON = {"score_top1", "latest_predictions", "asset_dims"}
+QUERIES = all_queries()[0]
+WITH_PYTHON = {"score_top1", "asset_dims"}
 # These run whole streams or searches while they are being built.
 EAGER = {"cv_metric_stats", "param_impact", "tree_predictions", "replay_batches"}
 LAZY = sorted(n for n in QUERIES if n not in EAGER and not n.startswith("stream"))

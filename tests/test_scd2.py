@@ -263,3 +263,87 @@ def test_without_ids_ignores_null_ids(spark):
     left = scd2.without_ids(rows, ids, "customer_id")
     assert sorted((r[0] is None, r[0]) for r in left.collect()) == [(False, 2), (True, None)]
     assert rows.filter(F.col("customer_id") == 1).count() == 1
+
+
+def test_duplicates_fail_whatever_is_read(spark):
+    existing = versions(spark, [(1, 1, "a", date(2020, 1, 1), OPEN, True)])
+    feed = small_feed(spark, [(1, "b", date(2021, 1, 1)), (1, "c", date(2021, 1, 1))])
+    classified = scd2.classify_changes(existing, feed, SMALL)
+    for job in (lambda: classified.count(), lambda: classified.select("customer_id").collect()):
+        with pytest.raises(Exception, match="duplicate id"):
+            job()
+
+
+def test_rejected_feed_rows(spark):
+    existing = versions(spark, [
+        (1, 1, "a", date(2020, 1, 1), OPEN, True), (2, 2, "b", date(2020, 1, 1), OPEN, True),
+        (3, None, "n", date(2020, 1, 1), OPEN, True),
+    ])
+    feed = small_feed(spark, [
+        (1, "x", date(2019, 1, 1)), (2, "y", None), (None, "z", date(2021, 1, 1)), (4, "w", None),
+    ])
+    rejects = scd2.scd2_rejects(existing, feed, SMALL)
+    assert tuples(rejects, "customer_id", "reason") == sorted(
+        [(1, "out_of_date"), (2, "no_date"), (None, "no_id"), (4, "no_date")], key=repr)
+    for merge in (scd2.scd2_merge, scd2.scd2_merge_sql):
+        assert tuples(merge(existing, feed, SMALL)) == tuples(existing.select(*SMALL.columns))
+
+
+def largest_share(df):
+    """Share of all rows that the fullest partition holds."""
+    sizes = [row["n"] for row in
+             df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_heavy_and_missing_ids_are_dealt_out(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        dimension = versions(
+            spark, [(k, k, "a", date(2020, 1, 1), OPEN, True) for k in range(100)])
+        facts = spark.range(20_000).select(
+            "id",
+            F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, F.col("id") % 100)
+            .cast("int").alias("who"),
+            F.lit(date(2020, 5, 1)).alias("day"),
+        ).repartition(16)
+        got = scd2.scd2_as_of(facts, dimension, "who", "day", SMALL)
+        assert got.count() == 20_000
+        assert got.filter("customer_key is null").count() == facts.filter("who is null").count()
+        assert largest_share(got) < 0.2
+        many = spark.range(20_000).select(
+            F.col("id").cast("int").alias("customer_key"),
+            F.when(F.col("id") < 500, F.col("id")).cast("int").alias("customer_id"),
+            F.lit("a").alias("name"),
+            F.lit(date(2020, 1, 1)).alias("effective_start_date"),
+            F.lit(OPEN).alias("effective_end_date"),
+            F.lit(True).alias("is_current"),
+        ).repartition(16)
+        feed = small_feed(spark, [(k, "b", date(2021, 1, 1)) for k in range(0, 600, 2)])
+        for merge in (scd2.scd2_merge, scd2.scd2_merge_sql):
+            assert largest_share(merge(many, feed, SMALL)) < 0.2
+        assert largest_share(scd2.without_ids(many, feed, "customer_id")) < 0.2
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+OPEN = date(9999, 12, 31)
+SMALL = scd2.Dimension(attributes=("name",))
+
+
+def versions(spark, rows):
+    return spark.createDataFrame(
+        rows, "customer_key int, customer_id int, name string, effective_start_date date,"
+        " effective_end_date date, is_current boolean")
+
+
+def small_feed(spark, rows):
+    return spark.createDataFrame(rows, "customer_id int, name string, source_date date")

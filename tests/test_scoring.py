@@ -102,6 +102,12 @@ def test_models_are_loaded_once_per_id():
     assert scoring.cached_model("cache-a", load) is first
     assert scoring.cached_model("cache-b", load) is not first
     assert calls == ["cache-a", "cache-b"]
+    newer = scoring.cached_model("cache-a", load, "2")
+    assert newer is not first and scoring.cached_model("cache-a", load, "2") is newer
+    for number in range(10):
+        scoring.cached_model(f"many-{number}", load)
+    assert len(scoring._loaded) == scoring.MOST_MODELS
+    assert scoring.loader_version(lambda _: 1) != scoring.loader_version(lambda _: 2)
 
 
 def write_assets(root):

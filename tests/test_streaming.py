@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -15,7 +16,7 @@ from tidemark.sources import streams as sources
 from tidemark.streaming import batch_log, messages, notifications
 from tidemark.streaming.arrivals import stream_line_counts
 from tidemark.streaming.replay import replay_batches
-from tidemark.streaming.status import query_status
+from tidemark.streaming.status import QueryTotals, query_status
 from tidemark.streaming.windows import closed_before, stream_window_metrics
 
 START = datetime(2024, 1, 15, 10, tzinfo=timezone.utc)
@@ -249,6 +250,44 @@ def test_replay_runs_one_batch_at_a_time(spark, tmp_path):
     assert sorted((row for part in seen for row in part), key=repr) == tuples(rows)
 
 
+def test_replay_keeps_the_order_of_batches(spark, tmp_path):
+    number = (F.floor(F.col("id") / 3) + 1).cast("int")
+    rows = spark.range(90).select("id", number.alias("batch_number")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stream = replay_batches(rows, batches_per_trigger=4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    seen = []
+    run(sinks.to_batches(
+        stream,
+        lambda batch, _: seen.append(sorted({r.batch_number for r in batch.collect()})),
+        str(tmp_path / "ck"),
+    ))
+    assert seen == [list(range(k, min(k + 4, 31))) for k in range(1, 31, 4)]
+
+
+def test_totals_outlive_the_kept_progress(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    totals = QueryTotals()
+    spark.streams.addListener(totals)
+    try:
+        rows = spark.range(12).select("id", F.col("id").cast("int").alias("batch_number"))
+        query = sinks.to_batches(
+            replay_batches(rows), lambda batch, _: batch.count(), str(tmp_path / "ck")
+        )
+        run(query)
+        for _ in range(100):
+            if totals.of(query)["input_rows"] >= 12:
+                break
+            time.sleep(0.1)
+        assert query_status(query, totals)["input_rows"] >= 12
+        assert query_status(query)["input_rows"] < 12
+    finally:
+        spark.streams.removeListener(totals)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
 def test_console_memory_and_timed_triggers(spark, tmp_path):
     write_file(tmp_path / "in", "a.json", [message(1, 0)])
     stream = parsed_stream(spark, tmp_path / "in").select("customer_id")

@@ -185,3 +185,16 @@ def test_profile_of_no_rows(spark):
     df = spark.createDataFrame([], "d date, final_amount double, p boolean")
     row = op.transaction_profile(df, "d", F.col("p")).first()
     assert (row["record_count"], row["total_value"], row["premium_percentage"]) == (0, None, None)
+
+
+def test_small_amounts_are_not_lost(spark):
+    rows = spark.range(1000).selectExpr(
+        "0.004D AS final_amount", "id AS customer_id", "1 AS batch_number", "id AS record_id")
+    assert op.batch_metrics(rows).first()["total_transaction_value"] == 4.0
+    assert op.grand_total(op.batch_states(rows)).first()["grand_total_value"] == 4.0
+
+
+def test_no_records_are_no_records(spark):
+    rows = spark.range(30).select(F.col("id").alias("key"))
+    assert op.numbered_batches(rows, ["key"], 10, max_records=0).count() == 0
+    assert op.numbered_batches(rows, ["key"], 10).count() == 30

@@ -180,7 +180,7 @@ def user_activity(
         *[F.count_if(in_interval == label).alias(f"clicks_{i}") for i, label in enumerate(labels)],
     )
     ranked = counted.orderBy(F.desc("total_clicks"), "user_id")
-    if top:
+    if top is not None:
         ranked = ranked.limit(top)
     entries = F.array(
         *[
@@ -204,7 +204,7 @@ def user_clicks(clicks: DataFrame, top: int | None = None) -> DataFrame:
         .agg(F.count("*").alias("click_count"))
         .orderBy(F.desc("click_count"), "user_id")
     )
-    return ranked.limit(top) if top else ranked
+    return ranked if top is None else ranked.limit(top)
 
 
 def click_summary(clicks: DataFrame) -> DataFrame:

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dense_ids import dense_ids
+from tidemark.session import stage
 
 OPEN_END = "9999-12-31"
+MOST_HOT_KEYS = 1000
+_SINCE = "_open_since"
 UNCHANGED, CHANGED, NEW, MISSING, UNKNOWN = "UNCHANGED", "CHANGED", "NEW", "MISSING", "UNKNOWN"
 
 
@@ -53,10 +56,12 @@ def one_row_per_id(feed: DataFrame, dim: Dimension, duplicates: str) -> DataFram
     )
     if duplicates == "error":
         message = F.concat(F.lit("duplicate id in feed: "), F.col(dim.business_id).cast("string"))
-        # The check is in the attributes, which every use compares or stores; the
-        # id stays a plain grouping column, so its partitioning carries over.
-        only_row = F.when(F.col("copies") == 1, F.col("row")).otherwise(F.raise_error(message))
-        grouped = grouped.withColumn("row", only_row)
+        # A filter is kept whatever columns are read later, and the id stays a
+        # plain grouping column, so its partitioning carries over.
+        alone = F.when(F.col("copies") == 1, True).otherwise(
+            F.raise_error(message).cast("boolean")
+        )
+        grouped = grouped.filter(alone)
     elif duplicates != "latest":
         raise ValueError(f"unknown policy for duplicate ids: {duplicates}")
     return grouped.select(dim.business_id, "row.*")
@@ -127,12 +132,38 @@ def _changes(
     cur_id, new_id = F.col(f"cur.{dim.business_id}"), F.col(f"new.{dim.business_id}")
     rows = one_row_per_id(feed, dim, duplicates)
     fed_ids = rows.select(dim.business_id)
-    touched = existing.filter(is_current(dim)).join(fed_ids, dim.business_id, "left_semi")
+    with_id = existing.filter(is_current(dim) & F.col(dim.business_id).isNotNull())
+    touched = with_id.join(fed_ids, dim.business_id, "left_semi")
     return (
         rows.alias("new")
         .join(touched.alias("cur"), cur_id == new_id, "left")
         .filter(cur_id.isNull() | ~_same_attributes(dim))
-        .select("new.*", cur_id.isNull().alias("is_new"))
+        .select(
+            "new.*", cur_id.isNull().alias("is_new"), F.col(f"cur.{dim.start}").alias(_SINCE)
+        )
+    )
+
+
+def _applicable(dim: Dimension) -> Column:
+    """Whether a change has a date that does not lie before the version it would close."""
+    dated = F.col(dim.source_date).isNotNull()
+    return dated & F.coalesce(F.col(dim.source_date) >= F.col(_SINCE), F.lit(True))
+
+
+def scd2_rejects(
+    existing: DataFrame, feed: DataFrame, dim: Dimension = CUSTOMER, duplicates: str = "error"
+) -> DataFrame:
+    """Feed rows that the merge sets aside, with the ``reason``.
+
+    ``no_id``; ``no_date``; ``out_of_date``: the row would close a version before
+    that version starts. Rows that change nothing are no rejects.
+    """
+    columns = [dim.business_id, dim.source_date, *dim.attributes]
+    nameless = feed.filter(F.col(dim.business_id).isNull())
+    reason = F.when(F.col(dim.source_date).isNull(), "no_date").otherwise("out_of_date")
+    late = _changes(existing, feed, dim, duplicates).filter(~_applicable(dim))
+    return nameless.select(*columns, F.lit("no_id").alias("reason")).unionByName(
+        late.select(*columns, reason.alias("reason"))
     )
 
 
@@ -147,16 +178,18 @@ def scd2_merge(
 
     A changed id gets its open version closed at the feed row's date (or
     ``close_offset_days`` before it) and a new open version. Ids missing from
-    the feed stay as they are. New versions get consecutive keys above the
+    the feed stay as they are. Feed rows without an id or date, and those dated
+    before the version they would close, are set aside; ``scd2_rejects`` lists
+    them. Versions without an id stay as they are. New versions get consecutive keys above the
     highest old one: changed ids first, then new ids, each by id.
 
-    Only open versions take part in the two joins on the id; closed ones pass
-    through, so an id with a long history does not weigh on one task. What is
-    stored in between is the changes alone.
+    Only open versions with an id take part in the two joins on it; all others
+    pass through, so neither an id with a long history nor rows without an id
+    weigh on one task. What is stored in between is the changes alone, by a job
+    that runs while the result is being built.
     """
-    changes = dense_ids(
-        _changes(existing, feed, dim, duplicates), ["is_new", dim.business_id], name="rank"
-    )
+    changes = _changes(existing, feed, dim, duplicates).filter(_applicable(dim)).drop(_SINCE)
+    changes = dense_ids(changes, ["is_new", dim.business_id], name="rank")
     highest_key = existing.agg(F.coalesce(F.max(dim.key), F.lit(0)).alias("k")).scalar()
     types = {field.name: field.dataType for field in existing.schema}
     opened = changes.select(
@@ -172,8 +205,9 @@ def scd2_merge(
         F.date_sub(dim.source_date, close_offset_days).alias("closing_date"),
     )
     closed = F.col("closing_id").isNotNull()
+    joins = is_current(dim) & F.col(dim.business_id).isNotNull()
     after_close = (
-        existing.filter(is_current(dim))
+        existing.filter(joins)
         .join(closing, F.col(dim.business_id) == F.col("closing_id"), "left")
         .withColumn(
             dim.end,
@@ -182,7 +216,7 @@ def scd2_merge(
         .withColumn(dim.current, F.col(dim.current) & ~closed)
         .select(*dim.columns)
     )
-    history = existing.filter(~is_current(dim)).select(*dim.columns)
+    history = existing.filter(~joins).select(*dim.columns)
     return history.unionByName(after_close).unionByName(opened)
 
 
@@ -199,9 +233,11 @@ def scd2_merge_sql(
         FROM {{new}} AS new
         LEFT JOIN (
           SELECT e.* FROM {{existing}} AS e LEFT SEMI JOIN {{new}} AS f ON e.{bid} = f.{bid}
-          WHERE e.{current} <=> true
+          WHERE e.{current} <=> true AND e.{bid} IS NOT NULL
         ) AS cur ON cur.{bid} = new.{bid}
-        WHERE cur.{bid} IS NULL OR NOT ({same})
+        WHERE (cur.{bid} IS NULL OR NOT ({same}))
+          AND new.{dim.source_date} IS NOT NULL
+          AND COALESCE(new.{dim.source_date} >= cur.{start}, true)
         """,
         new=one_row_per_id(feed, dim, duplicates),
         existing=existing,
@@ -212,12 +248,12 @@ def scd2_merge_sql(
     key_type = existing.schema[key].dataType.simpleString()
     return spark.sql(
         f"""
-        SELECT {columns} FROM {{existing}} WHERE NOT ({current} <=> true)
+        SELECT {columns} FROM {{existing}} WHERE NOT ({current} <=> true) OR {bid} IS NULL
         UNION ALL
         SELECT e.{key}, e.{bid}, {", ".join(f"e.{a}" for a in dim.attributes)}, e.{start},
                CASE WHEN c.{bid} IS NULL THEN e.{end} ELSE c.{dim.source_date} END AS {end},
                c.{bid} IS NULL AS {current}
-        FROM (SELECT * FROM {{existing}} WHERE {current} <=> true) AS e
+        FROM (SELECT * FROM {{existing}} WHERE {current} <=> true AND {bid} IS NOT NULL) AS e
         LEFT JOIN (SELECT {bid}, {dim.source_date} FROM {{ranked}} WHERE NOT is_new) AS c
           ON e.{bid} = c.{bid}
         UNION ALL
@@ -249,9 +285,14 @@ def scd2_summary(dimension: DataFrame, dim: Dimension = CUSTOMER) -> DataFrame:
 
 
 def without_ids(rows: DataFrame, ids: DataFrame, business_id: str) -> DataFrame:
-    """Rows whose id is not in ``ids``; NULL ids there exclude nothing."""
+    """Rows whose id is not in ``ids``; NULL ids there exclude nothing.
+
+    Rows without an id stay, and stay out of the join.
+    """
     listed = ids.select(business_id).filter(F.col(business_id).isNotNull())
-    return rows.join(listed, business_id, "left_anti")
+    known = F.col(business_id).isNotNull()
+    kept = rows.filter(known).join(listed, business_id, "left_anti").select(*rows.columns)
+    return kept.unionByName(rows.filter(~known))
 
 
 def scd2_as_of(
@@ -271,6 +312,11 @@ def scd2_as_of(
     slice): an id with many versions or many facts is spread over its slices,
     and a fact meets only versions of its own slice. Versions repeat once per
     slice they touch, never beyond the slices the facts have.
+
+    A count finds the keys that hold more than a share of ``1 / MOST_HOT_KEYS`` of
+    the facts, of which there are fewer than ``MOST_HOT_KEYS``; only those are
+    broadcast. Their facts are dealt out further by a hash of the whole row, and
+    their versions repeat for each part. Facts without an id or date pass by.
     """
     days = F.unix_date(F.to_date(fact_date))
     span = facts.agg(F.min(days).alias("low"), F.max(days).alias("high"))
@@ -295,12 +341,43 @@ def scd2_as_of(
         )
         .drop("first_day", "final_day")
     )
-    dated = facts.withColumn("fact_day", days).withColumn("fact_slice", slice_of("fact_day"))
+    able = F.col(fact_id).isNotNull() & days.isNotNull()
+    dated = (
+        facts.filter(able)
+        .withColumn("fact_day", days)
+        .withColumn("fact_slice", slice_of("fact_day"))
+    )
+    counts = dated.groupBy(F.col(fact_id).alias("hot_id"), F.col("fact_slice").alias("hot_slice"))
+    counts = stage(counts.agg(F.count("*").alias("n")), "fact-keys")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(
+        counts.filter(F.col("n") * MOST_HOT_KEYS > total).select(
+            "hot_id",
+            "hot_slice",
+            F.ceil(F.col("n") * MOST_HOT_KEYS / F.lit(max(1, total))).cast("int").alias("parts"),
+        )
+    )
+    parts = F.coalesce("parts", F.lit(1))
+    in_slice = F.col("hot_slice")
+    fact_key = (F.col(fact_id) == F.col("hot_id")) & (F.col("fact_slice") == in_slice)
+    version_key = (F.col(dim.business_id) == F.col("hot_id")) & (F.col("time_slice") == in_slice)
+    dated = (
+        dated.join(hot, fact_key, "left")
+        .withColumn("fact_part", F.pmod(F.xxhash64(*facts.columns), parts))
+        .drop("hot_id", "hot_slice", "parts")
+    )
+    versions = (
+        versions.join(hot, version_key, "left")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop("hot_id", "hot_slice", "parts")
+    )
     matches = (
         (F.col(fact_id) == F.col(dim.business_id))
         & (F.col("fact_slice") == F.col("time_slice"))
+        & (F.col("fact_part") == F.col("part"))
         & F.col("fact_day").between(F.col("from_day"), F.col("to_day"))
     )
-    return dated.join(versions, matches, "left").drop(
-        "fact_day", "fact_slice", "from_day", "to_day", "time_slice"
+    matched = dated.join(versions, matches, "left").drop(
+        "fact_day", "fact_slice", "fact_part", "from_day", "to_day", "time_slice", "part"
     )
+    return matched.unionByName(facts.filter(~able), allowMissingColumns=True)

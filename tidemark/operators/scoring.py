@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections import OrderedDict
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any, Protocol
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from tidemark import schemas
 from tidemark.functions import objects
 from tidemark.sources.files import binary_files
 
+#: Fixed values of the result: batch size, and what stands for no prediction.
 MINI_BATCH = 64
 NO_PREDICTION = ("unknown", "unknown", 0.0)
 
@@ -33,14 +37,25 @@ class LinearModel:
         return batch @ self.weights.T
 
 
-# One entry per model id in each Python worker.
-_loaded: dict[str, Model] = {}
+MOST_MODELS = 4
+# The models last used in a Python worker, by id and version.
+_loaded: OrderedDict[tuple[str, str], Model] = OrderedDict()
 
 
-def cached_model(model_id: str, load: Callable[[str], Model]) -> Model:
-    if model_id not in _loaded:
-        _loaded[model_id] = load(model_id)
-    return _loaded[model_id]
+def cached_model(model_id: str, load: Callable[[str], Model], version: str = "") -> Model:
+    """The model of an id and version; a new version is loaded anew."""
+    key = (model_id, version)
+    if key not in _loaded:
+        _loaded[key] = load(model_id)
+        if len(_loaded) > MOST_MODELS:
+            _loaded.popitem(last=False)
+    _loaded.move_to_end(key)
+    return _loaded[key]
+
+
+def loader_version(load: Callable[[str], Model]) -> str:
+    """A hash of the loader as Spark would ship it, with all it refers to by value."""
+    return hashlib.sha256(cloudpickle.dumps(load)).hexdigest()
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -85,16 +100,23 @@ def _predict(
         places, vectors = np.arange(len(matrix)), matrix
     else:
         places, vectors = _decoded(payloads, decode or np.asarray)
-    names, descriptions, scores = ([value] * len(payloads) for value in NO_PREDICTION)
+    names, descriptions, scores = (
+        np.full(len(payloads), value, dtype=object) for value in NO_PREDICTION
+    )
     for first in range(0, len(places), mini_batch):
         batch = slice(first, first + mini_batch)
         probability = softmax(model.logits(np.stack(vectors[batch])))
         best = probability.argmax(axis=1)
-        for place, index, score in zip(places[batch], best, probability.max(axis=1)):
-            names[place] = str(index)
-            descriptions[place] = classes[index] if index < len(classes) else f"class_{index}"
-            scores[place] = score
-    return pd.DataFrame({"class": names, "desc": descriptions, "score": scores})
+        known = np.array(
+            [*classes, *(f"class_{i}" for i in range(len(classes), probability.shape[1]))],
+            dtype=object,
+        )
+        names[places[batch]] = best.astype(str)
+        descriptions[places[batch]] = known[best]
+        scores[places[batch]] = probability.max(axis=1)
+    return pd.DataFrame(
+        {"class": names, "desc": descriptions, "score": scores.astype(np.float64)}
+    )
 
 
 def top1_udf(
@@ -103,18 +125,22 @@ def top1_udf(
     classes: Sequence[str],
     decode: Callable[[Any], np.ndarray] | None = None,
     mini_batch: int = MINI_BATCH,
+    version: str | None = None,
 ) -> Callable[[Column], Column]:
     """Column function giving the most likely class as ``(class, desc, score)``.
 
-    ``load`` runs once per Python worker; let it read large weights from a file
+    ``load`` runs once per Python worker for each id and ``version``, which is a
+    hash of ``load`` unless given; let it read large weights from a file
     that Spark ships. ``decode`` turns one payload into a feature vector; without
     it the column holds the vectors. Rows that cannot be decoded are ``unknown``
     with score 0. The model sees ``mini_batch`` rows at a time.
     """
 
+    loaded_version = loader_version(load) if version is None else version
+
     @F.pandas_udf(schemas.PREDICTION)
     def top1(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = cached_model(model_id, load)
+        model = cached_model(model_id, load, loaded_version)
         for payloads in batches:
             yield _predict(payloads, model, classes, decode, mini_batch)
 

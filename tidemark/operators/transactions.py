@@ -1,7 +1,8 @@
 """Transactions: windowed metrics, numbered batches and roll-ups.
 
 Money is summed as decimal and given as double, so that sums do not depend on
-the order in which partitions arrive.
+the order in which partitions arrive. Amounts keep eight decimals; nothing is
+rounded to cents before or after the sum.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dense_ids import dense_ids
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(30,8)"
 EXACT, APPROX = "exact", "approx"
 
 
@@ -182,7 +183,7 @@ def numbered_batches(
     ``max_records`` keeps only the first records, for a publisher that was told
     to stop there.
     """
-    if max_records:
+    if max_records is not None:
         rows = rows.orderBy(*order_by).limit(max_records)
     numbered = dense_ids(rows, order_by, name=names.record)
     before = f"({names.record} - 1)"

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import scoring
 from tidemark.plans.text_objects import object_name
-from tidemark.session import new_path, ship_package
+from tidemark.session import new_path, ship_package, stage
 from tidemark.sinks.streams import to_files
 from tidemark.sources.files import binary_files
 from tidemark.sources.streams import binary_file_stream, notification_stream
 from tidemark.sources.tables import table, table_stream
 from tidemark.streaming import notifications
-from tidemark.streaming.assets import labeled_files, score_stream
+from tidemark.streaming.assets import score_stream
 
 WIDTH = 64
 CLASSES = tuple(f"kind {i}" for i in range(10))
@@ -77,7 +77,9 @@ def score_top1(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return scoring.latest_predictions(_results(spark, folder))
+    """From the stored result table: scores are not computed again to find the latest."""
+    stored = stage(_results(spark, folder), "predictions")
+    return scoring.latest_predictions(stored)
 
 
 def asset_label_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,9 +102,10 @@ def asset_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_assets(spark: SparkSession, folder: str) -> DataFrame:
-    """The same by a stream that reads the files' contents."""
-    files = labeled_files(binary_file_stream(spark, _written_assets(spark, folder), "*.txt"))
-    sizes = files.select("label", F.octet_length("content").cast("bigint").alias("bytes"))
+    """The same by a stream of the files; their contents are not read."""
+    files = binary_file_stream(spark, _written_assets(spark, folder), "*.txt")
+    label = scoring.objects.path_label(F.col("path"))
+    sizes = files.select(label.alias("label"), F.col("length").alias("bytes"))
     target, checkpoint = new_path(spark, "asset-sizes"), new_path(spark, "asset-checkpoint")
     to_files(sizes, target, checkpoint).awaitTermination()
     stored = spark.read.schema(sizes.schema).json(target)

@@ -5,11 +5,13 @@ the customers of nations 20 and up, missing from it those of nations 0 to 3.
 Machinery customers already have a closed version. A low balance moves a
 customer to another segment, a high one hides the name in the feed, a very high
 one in the dimension as well. The date of a feed row follows from its nation.
+Every fifth customer of the nations that only one side has comes without an id.
+A third of the orders belong to one customer, and some to none.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import scd2
@@ -18,9 +20,15 @@ from tidemark.session import new_path, stage
 from tidemark.sources.files import dimension_file
 from tidemark.sources.tables import table
 
+HEAVY_CUSTOMER = 7
 DIM = scd2.Dimension(attributes=("customer_name", "nation_key", "segment"))
 
 
+def _customer_id(only_here: Column) -> Column:
+    nameless = only_here & (F.col("c_custkey") % 5 == 0)
+    return F.when(~nameless, F.col("c_custkey")).alias("customer_id")
+
+
 def existing(spark: SparkSession, folder: str) -> DataFrame:
     has_older = F.col("c_mktsegment") == "MACHINERY"
     customers = table(spark, folder, "customer").filter(F.col("c_nationkey") < 20)
@@ -33,7 +41,7 @@ def existing(spark: SparkSession, folder: str) -> DataFrame:
     ]
     current = customers.select(
         (F.col("c_custkey") * 2 + 2).alias("customer_key"),
-        F.col("c_custkey").alias("customer_id"),
+        _customer_id(F.col("c_nationkey") < 4),
         *shared,
         F.col("c_mktsegment").alias("segment"),
         F.when(has_older, change).otherwise(begin).alias("effective_start_date"),
@@ -42,7 +50,7 @@ def existing(spark: SparkSession, folder: str) -> DataFrame:
     )
     older = customers.filter(has_older).select(
         (F.col("c_custkey") * 2 + 1).alias("customer_key"),
-        F.col("c_custkey").alias("customer_id"),
+        _customer_id(F.col("c_nationkey") < 4),
         *shared,
         F.lit("PROSPECT").alias("segment"),
         begin.alias("effective_start_date"),
@@ -56,7 +64,7 @@ def feed(spark: SparkSession, folder: str) -> DataFrame:
     segment = F.when(F.col("c_acctbal") < 1000, F.concat("c_mktsegment", F.lit(" LOW")))
     customers = table(spark, folder, "customer").filter(F.col("c_nationkey") >= 4)
     return customers.select(
-        F.col("c_custkey").alias("customer_id"),
+        _customer_id(F.col("c_nationkey") >= 20),
         F.when(F.col("c_acctbal") <= 9000, F.col("c_name")).alias("customer_name"),
         F.col("c_nationkey").alias("nation_key"),
         segment.otherwise(F.col("c_mktsegment")).alias("segment"),
@@ -80,6 +88,24 @@ def scd2_merge_sql(spark: SparkSession, folder: str) -> DataFrame:
     return scd2.scd2_merge_sql(existing(spark, folder), feed(spark, folder), DIM)
 
 
+def _odd_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed with dates that are missing in nation 5 and too early in nation 6."""
+    early, none = F.lit("1990-01-01").cast("date"), F.lit(None).cast("date")
+    date = F.when(F.col("nation_key") == 5, none).when(F.col("nation_key") == 6, early)
+    rows = feed(spark, folder)
+    return rows.withColumn("source_date", date.otherwise(F.col("source_date")))
+
+
+def scd2_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Feed rows without an id or a date, or dated before the open version."""
+    return scd2.scd2_rejects(existing(spark, folder), _odd_feed(spark, folder), DIM)
+
+
+def scd2_merge_odd_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The merge without those rows."""
+    return scd2.scd2_merge(existing(spark, folder), _odd_feed(spark, folder), DIM)
+
+
 def scd2_merge_twice(spark: SparkSession, folder: str) -> DataFrame:
     """The second merge of the same feed changes nothing."""
     merged = stage(scd2_merge(spark, folder), "dimension")
@@ -117,7 +143,13 @@ def anti_by_subquery(spark: SparkSession, folder: str) -> DataFrame:
 
 def scd2_as_of(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the customer version that held on their date."""
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    place = F.col("o_orderkey")
+    customer = F.when(place % 3 == 0, F.lit(HEAVY_CUSTOMER).cast("bigint")).when(
+        place % 7 != 0, F.col("o_custkey")
+    )
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", customer.alias("o_custkey"), "o_orderdate"
+    )
     matched = scd2.scd2_as_of(orders, scd2_merge(spark, folder), "o_custkey", "o_orderdate", DIM)
     return matched.select("o_orderkey", "customer_key", "segment", "effective_start_date")
 
@@ -153,6 +185,8 @@ QUERIES = {
         scd2_class_counts,
         scd2_merge,
         scd2_merge_sql,
+        scd2_rejects,
+        scd2_merge_odd_feed,
         scd2_merge_twice,
         scd2_merge_latest,
         scd2_summary,
@@ -166,7 +200,8 @@ QUERIES = {
 
 _INPUTS = """
 existing AS (
-  SELECT c_custkey * 2 + 2 AS customer_key, c_custkey AS customer_id,
+  SELECT c_custkey * 2 + 2 AS customer_key,
+    CASE WHEN NOT (c_nationkey < 4 AND c_custkey % 5 = 0) THEN c_custkey END AS customer_id,
     CASE WHEN c_acctbal <= 9500 THEN c_name END AS customer_name, c_nationkey AS nation_key,
     c_mktsegment AS segment,
     CASE WHEN c_mktsegment = 'MACHINERY' THEN DATE '1997-07-01' ELSE DATE '1995-01-01' END
@@ -174,11 +209,14 @@ existing AS (
     DATE '9999-12-31' AS effective_end_date, true AS is_current
   FROM customer WHERE c_nationkey < 20
   UNION ALL
-  SELECT c_custkey * 2 + 1, c_custkey, CASE WHEN c_acctbal <= 9500 THEN c_name END, c_nationkey,
+  SELECT c_custkey * 2 + 1,
+    CASE WHEN NOT (c_nationkey < 4 AND c_custkey % 5 = 0) THEN c_custkey END,
+    CASE WHEN c_acctbal <= 9500 THEN c_name END, c_nationkey,
     'PROSPECT', DATE '1995-01-01', DATE '1997-07-01', false
   FROM customer WHERE c_nationkey < 20 AND c_mktsegment = 'MACHINERY'),
 feed AS (
-  SELECT c_custkey AS customer_id, CASE WHEN c_acctbal <= 9000 THEN c_name END AS customer_name,
+  SELECT CASE WHEN NOT (c_nationkey >= 20 AND c_custkey % 5 = 0) THEN c_custkey END AS customer_id,
+    CASE WHEN c_acctbal <= 9000 THEN c_name END AS customer_name,
     c_nationkey AS nation_key,
     CASE WHEN c_acctbal < 1000 THEN c_mktsegment || ' LOW' ELSE c_mktsegment END AS segment,
     DATE '1999-01-01' + c_nationkey AS source_date
@@ -186,7 +224,8 @@ feed AS (
 classified AS (
   SELECT coalesce(c.customer_id, f.customer_id) AS customer_id, c.customer_key, f.source_date,
     f.customer_name, f.nation_key, f.segment,
-    CASE WHEN c.customer_id IS NULL THEN 'NEW' WHEN f.customer_id IS NULL THEN 'MISSING'
+    CASE WHEN coalesce(c.customer_id, f.customer_id) IS NULL THEN 'UNKNOWN'
+         WHEN c.customer_id IS NULL THEN 'NEW' WHEN f.customer_id IS NULL THEN 'MISSING'
          WHEN c.customer_name IS NOT DISTINCT FROM f.customer_name
           AND c.nation_key IS NOT DISTINCT FROM f.nation_key
           AND c.segment IS NOT DISTINCT FROM f.segment THEN 'UNCHANGED'
@@ -209,7 +248,36 @@ merged AS (
     customer_id, customer_name, nation_key, segment, source_date, DATE '9999-12-31', true
   FROM classified WHERE record_type IN ('NEW', 'CHANGED'))"""
 
+_ODD = f"""{_INPUTS},
+odd AS (
+  SELECT * REPLACE (CASE nation_key WHEN 5 THEN NULL WHEN 6 THEN DATE '1990-01-01'
+                                    ELSE source_date END AS source_date) FROM feed),
+judged AS (
+  SELECT f.*, c.customer_id IS NULL AS is_new,
+    CASE WHEN f.customer_id IS NULL THEN 'no_id' WHEN f.source_date IS NULL THEN 'no_date'
+         WHEN f.source_date < c.effective_start_date THEN 'out_of_date' END AS reason
+  FROM odd f LEFT JOIN (SELECT * FROM existing WHERE is_current) c USING (customer_id)
+  WHERE f.customer_id IS NULL OR c.customer_id IS NULL
+     OR NOT (c.customer_name IS NOT DISTINCT FROM f.customer_name
+         AND c.nation_key IS NOT DISTINCT FROM f.nation_key
+         AND c.segment IS NOT DISTINCT FROM f.segment))"""
+
 SQL = {
+    "scd2_rejects": f"""WITH {_ODD}
+SELECT customer_id, source_date, customer_name, nation_key, segment, reason
+FROM judged WHERE reason IS NOT NULL""",
+    "scd2_merge_odd_feed": f"""WITH {_ODD}
+SELECT e.customer_key, e.customer_id, e.customer_name, e.nation_key, e.segment,
+  e.effective_start_date,
+  CASE WHEN e.is_current AND j.customer_id IS NOT NULL THEN j.source_date
+       ELSE e.effective_end_date END AS effective_end_date,
+  e.is_current AND j.customer_id IS NULL AS is_current
+FROM existing e
+LEFT JOIN (SELECT * FROM judged WHERE reason IS NULL AND NOT is_new) j USING (customer_id)
+UNION ALL
+SELECT (SELECT max(customer_key) FROM existing) + row_number() OVER (ORDER BY is_new, customer_id),
+  customer_id, customer_name, nation_key, segment, source_date, DATE '9999-12-31', true
+FROM judged WHERE reason IS NULL""",
     "scd2_classify": f"""WITH {_INPUTS}
 SELECT customer_id, customer_key, source_date, record_type FROM classified""",
     "scd2_class_counts": f"""WITH {_INPUTS}
@@ -244,18 +312,20 @@ FROM merged""",
     "scd2_history_kept": f"""WITH {_MERGED}
 SELECT * FROM existing WHERE customer_key IN (SELECT customer_key FROM merged)""",
     "anti_by_subquery": f"""WITH {_INPUTS}
-SELECT * FROM existing WHERE customer_id NOT IN (
+SELECT * FROM existing WHERE customer_id IS NULL OR customer_id NOT IN (
   SELECT customer_id FROM classified WHERE record_type = 'CHANGED' AND customer_id IS NOT NULL)""",
     "scd2_as_of": f"""WITH {_MERGED}
 SELECT o_orderkey, customer_key, segment, effective_start_date
-FROM orders LEFT JOIN merged ON o_custkey = customer_id
+FROM (SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 3 = 0 THEN {HEAVY_CUSTOMER}
+        WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS o_custkey FROM orders)
+LEFT JOIN merged ON o_custkey = customer_id
  AND CAST(o_orderdate AS DATE) >= effective_start_date
  AND (CAST(o_orderdate AS DATE) < effective_end_date OR effective_end_date = DATE '9999-12-31')""",
     "scd2_load": f"""WITH {_INPUTS}
 SELECT CAST(customer_key AS INTEGER) AS customer_key, CAST(customer_id AS INTEGER) AS customer_id,
   customer_name, segment AS address, CAST(nation_key AS VARCHAR) AS phone,
   customer_id || '@email.com' AS email, effective_start_date, effective_end_date, is_current,
-  false AS rejected
+  customer_id IS NULL AS rejected
 FROM existing""",
     "dense_ids": """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_id FROM orders""",

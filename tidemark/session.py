@@ -14,19 +14,19 @@ MEBIBYTE = 1024 * 1024
 PARTITION_BYTES = 128 * MEBIBYTE
 LARGEST_SPLIT_BYTES = 1024 * MEBIBYTE
 MOST_SCAN_TASKS = 100_000
-MOST_SHUFFLE_PARTITIONS = 20_000
 
 
-def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+def sizing(input_bytes: int, cores: int, shuffled_bytes: int | None = None) -> dict[str, str]:
     """Scan and shuffle settings for an input of known size.
 
-    Partitions are kept near 128 MB as long as their number allows: a shuffle
-    moves one block per pair of map task and partition, so both are bounded and
-    very large inputs get larger splits instead. AQE still merges what turns out
-    small, as the jobs shuffle partial sums far below the size of the input.
+    Shuffle partitions are near 128 MB of ``shuffled_bytes``, which is the whole
+    input unless a job is known to shuffle less, so sort tasks stay small at any
+    size. Very large inputs get larger splits, which keeps the number of shuffle
+    blocks down from the map side. AQE merges partitions that turn out small.
     """
     split = max(PARTITION_BYTES, min(LARGEST_SPLIT_BYTES, input_bytes // MOST_SCAN_TASKS))
-    partitions = min(MOST_SHUFFLE_PARTITIONS, math.ceil(input_bytes / PARTITION_BYTES))
+    moved = input_bytes if shuffled_bytes is None else shuffled_bytes
+    partitions = math.ceil(moved / PARTITION_BYTES)
     return {
         "spark.sql.shuffle.partitions": str(max(cores, partitions)),
         "spark.sql.files.maxPartitionBytes": str(split),

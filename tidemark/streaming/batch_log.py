@@ -14,7 +14,7 @@ from tidemark.sinks.streams import replace_batch
 _LOG = T.StructType(
     [
         T.StructField("record_count", T.LongType()),
-        T.StructField("total_value", T.DecimalType(28, 2)),
+        T.StructField("total_value", T.DecimalType(38, 8)),
         T.StructField("first_time", T.TimestampType()),
         T.StructField("last_time", T.TimestampType()),
         T.StructField("batch_id", T.LongType()),
@@ -32,7 +32,7 @@ def log_writer(path: str, time: str, amount: str) -> Callable[[DataFrame, int],
     def write(batch: DataFrame, batch_id: int) -> None:
         totals = batch.agg(
             F.count("*").alias("record_count"),
-            F.sum(F.col(amount).cast(MONEY)).cast("decimal(28,2)").alias("total_value"),
+            F.sum(F.col(amount).cast(MONEY)).cast("decimal(38,8)").alias("total_value"),
             F.min(time).alias("first_time"),
             F.max(time).alias("last_time"),
         )

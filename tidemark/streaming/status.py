@@ -2,16 +2,57 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
+
+
+class QueryTotals(StreamingQueryListener):
+    """Adds up the progress of every query of a session from when it is registered.
+
+    Spark keeps only the last progress entries of a query; the totals here
+    cover all of them, in three numbers per query. Register it with
+    ``spark.streams.addListener``.
+    """
+
+    def __init__(self) -> None:
+        self._totals: dict[str, dict[str, int]] = defaultdict(
+            lambda: {"batches": 0, "input_rows": 0, "late_rows": 0}
+        )
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        totals = self._totals[str(progress.id)]
+        totals["batches"] += 1
+        totals["input_rows"] += progress.numInputRows
+        totals["late_rows"] += sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> dict[str, int]:
+        return dict(self._totals[str(query.id)])
+
 
+def query_status(query: StreamingQuery, totals: QueryTotals | None = None) -> dict:
+    """Name, activity, rows read and rows dropped as late.
 
-def query_status(query: StreamingQuery) -> dict:
-    """Name, activity, rows read and rows dropped as late, over the kept progress."""
+    With ``totals`` over the whole life of the query, else over the progress
+    entries that Spark still keeps (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    state = {"name": query.name, "active": query.isActive}
+    if totals is not None:
+        return state | totals.of(query)
     progress = query.recentProgress
     states = [state for entry in progress for state in entry["stateOperators"]]
-    return {
-        "name": query.name,
-        "active": query.isActive,
+    return state | {
         "batches": len({entry["batchId"] for entry in progress}),
         "input_rows": sum(entry["numInputRows"] for entry in progress),
         "late_rows": sum(state["numRowsDroppedByWatermark"] for state in states),
