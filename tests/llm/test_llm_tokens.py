@@ -181,6 +181,8 @@ def test_edits_on_documents(docs_of, texts, tokenizer):
     for row in rows:
         assert row.n_tokens == len(ids_of(tokenizer, row.text))
         assert row.n_chars == len(row.text)
+    counted = token_trees.apply_edits(docs, TOKENIZER, with_state=False)
+    assert rows_of(counted) == sorted((tuple(r)[:6] for r in rows), key=repr)
     odd = docs_of([(1, "some text")]).withColumn(
         "edits",
         F.expr("array(named_struct('start', -5L, 'end', 99L, 'replacement', 'new'), null,"

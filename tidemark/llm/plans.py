@@ -97,11 +97,7 @@ def three_edits() -> Column:
 
 def op8_token_trees(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("edits", three_edits())
-    before = token_trees.build_trees(docs, tokenizer_path(), "edits")
-    after = token_trees.apply_edits(before, tokenizer_path(), "edits")
-    return after.select(
-        "doc_id", "n_tokens_before", "n_tokens", "n_chars", "n_edits", "reencoded"
-    )
+    return token_trees.apply_edits(docs, tokenizer_path(), with_state=False)
 
 
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:

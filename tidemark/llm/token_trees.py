@@ -178,6 +178,12 @@ def _unpacked(tree: bytes) -> TokenTree:
     return TokenTree(lengths, counts)
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def build_trees(docs: DataFrame, tokenizer: str, *also: str) -> DataFrame:
     """State of every document: text (NULL: empty), ``n_tokens`` and the leaves of its tree.
 
@@ -188,7 +194,7 @@ def build_trees(docs: DataFrame, tokenizer: str, *also: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = pieces_of(tokenizer, True)
-        for batch in batches:
+        for batch in _small(batches):
             totals, trees = [], []
             for text in batch.column(1):
                 lengths, counts = leaves_of(bpe, text.as_py())
@@ -210,33 +216,46 @@ def build_trees(docs: DataFrame, tokenizer: str, *also: str) -> DataFrame:
     return source.mapInArrow(run, STATE + passed)
 
 
-def apply_edits(state: DataFrame, tokenizer: str, edits: str = "edits") -> DataFrame:
+_COUNTS = ("n_tokens_before", "n_chars", "n_edits", "reencoded")
+_FLUSH_BYTES = 8 << 20  # of new state that is handed on at once
+
+
+def apply_edits(
+    state: DataFrame, tokenizer: str, edits: str = "edits", with_state: bool = True
+) -> DataFrame:
     """New state after the edits in the array column ``edits``, in their order.
 
-    An edit replaces the code points from ``start`` up to ``end`` of the text as
-    the edits before have left it. Places beyond the text are moved into it, a
-    NULL place or NULL edit is passed over, a NULL replacement deletes. Adds
-    ``n_tokens_before``, ``n_chars``, ``n_edits`` (those applied) and
-    ``reencoded``, the code points encoded again, which follow the edits and not
-    the length of the text.
+    ``state`` comes from ``build_trees``; without a column ``tree`` the trees are
+    built in the same pass, so no state has to be kept for documents that are
+    only counted. An edit replaces the code points from ``start`` up to ``end``
+    of the text as the edits before have left it. Places beyond the text are
+    moved into it, a NULL place or NULL edit is passed over, a NULL replacement
+    deletes. Adds ``n_tokens_before``, ``n_chars``, ``n_edits`` (those applied)
+    and ``reencoded``, the code points encoded again, which follow the edits and
+    not the length of the text. ``with_state=False`` leaves out text and tree.
     """
     ship_package(state.sparkSession)
-    more = [
-        (name, pa.int64()) for name in ("n_tokens_before", "n_chars", "n_edits", "reencoded")
-    ]
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("text", pa.string()), ("n_tokens", pa.int64()),
-         ("tree", pa.binary()), *more]
-    )
+    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64())]
+    fields += [(name, pa.int64()) for name in _COUNTS]
+    if with_state:
+        fields += [("text", pa.string()), ("tree", pa.binary())]
+    schema = pa.schema(fields)
+
+    def flushed(out: list[list]) -> pa.RecordBatch:
+        columns = [pa.array(x, f.type) for x, f in zip(out, schema)]
+        for column in out:
+            column.clear()
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = pieces_of(tokenizer, True)
+        out: list[list] = [[] for _ in schema]
+        size = 0
         for batch in batches:
-            out: list[list] = [[] for _ in schema]
             for row in zip(*batch.columns):
-                doc_id, text, packed, todo = (x.as_py() for x in row)
-                tree, applied, again = _unpacked(packed), 0, 0
-                before = tree.total
+                doc_id, text, todo, *packed = (x.as_py() for x in row)
+                tree = _unpacked(packed[0]) if packed else TokenTree(*leaves_of(bpe, text))
+                before, applied, again = tree.total, 0, 0
                 for edit in todo or ():
                     if not edit or edit["start"] is None or edit["end"] is None:
                         continue
@@ -246,14 +265,20 @@ def apply_edits(state: DataFrame, tokenizer: str, edits: str = "edits") -> DataF
                         bpe, tree, text, start, end, edit["replacement"] or ""
                     )
                     applied, again = applied + 1, again + encoded
-                leaves = _packed(*tree.leaves())
-                values = (doc_id, text, tree.total, leaves, before, len(text), applied, again)
+                values = [doc_id, tree.total, before, len(text), applied, again]
+                if with_state:
+                    values += [text, _packed(*tree.leaves())]
+                    size += len(text) + len(values[-1])
                 for column, value in zip(out, values):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, f.type) for x, f in zip(out, schema)], schema=schema
-            )
+                if size > _FLUSH_BYTES:
+                    yield flushed(out)
+                    size = 0
+            yield flushed(out)
 
-    return state.select("doc_id", "text", "tree", F.col(edits).cast(EDIT)).mapInArrow(
-        run, STATE + ", n_tokens_before bigint, n_chars bigint, n_edits bigint, reencoded bigint"
-    )
+    text = F.coalesce("text", F.lit("")).alias("text")
+    columns = [F.col("doc_id").cast("bigint"), text, F.col(edits).cast(EDIT)]
+    columns += [F.col("tree")] if "tree" in state.columns else []
+    kinds = ["doc_id bigint", "n_tokens bigint", *(f"{name} bigint" for name in _COUNTS)]
+    kinds += ["text string", "tree binary"] if with_state else []
+    return state.select(*columns).mapInArrow(run, ", ".join(kinds))
