@@ -13,8 +13,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import text
 from tidemark.operators import scoring
-from tidemark.plans.text_objects import object_name
+from tidemark.operators.line_stats import file_stats, listed_stats
+from tidemark.plans.text_objects import _BY_SOURCE, _NAME, _lines, object_name
 from tidemark.session import new_path, ship_package, stage
 from tidemark.sinks.streams import to_files
 from tidemark.sources.files import binary_files
@@ -156,6 +158,7 @@ def upload_events(spark: SparkSession, folder: str) -> DataFrame:
         _event_type().alias("eventType"),
         F.lit("2024-01-15T00:00:00Z").alias("timeCreated"),
         F.octet_length("text").alias("size"),
+        text.line_count(F.col("text")).alias("lines"),
     )
 
 
@@ -166,8 +169,11 @@ def notification_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def notification_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The message of each upload, with the counts of its text."""
     uploads = notifications.wanted_uploads(upload_events(spark, folder))
-    return notifications.line_count_requests(uploads, "file", size=F.col("size"))
+    return notifications.line_count_requests(
+        uploads, "file", lines=F.col("lines"), size=F.col("size")
+    )
 
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,6 +215,32 @@ def stream_notifications(spark: SparkSession, folder: str) -> DataFrame:
     return stored[0].unionByName(stored[1]).groupBy("route").agg(F.count("*").alias("messages"))
 
 
+def stream_requested_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Written files are announced by message, and those asked for are counted."""
+    root = _written_assets(spark, folder)
+    uploads = scoring.asset_catalog(spark, root, "*.txt").select(
+        F.col("label").alias("bucket"),
+        F.col("file_name").alias("name"),
+        F.lit("OBJECT_FINALIZE").alias("eventType"),
+        F.lit("2024-01-15T00:00:00Z").alias("timeCreated"),
+    )
+    source, target = new_path(spark, "uploads"), new_path(spark, "requested")
+    requests = notifications.line_count_requests(notifications.wanted_uploads(uploads), "file")
+    requests.select("value").write.text(source)
+    notifications.process_notifications(
+        notification_stream(spark, source), target, new_path(spark, "requested-checkpoint")
+    ).awaitTermination()
+    listed = spark.read.parquet(f"{target}/requests").select(
+        F.col("bucket_name").alias("label"),
+        F.concat_ws("/", "bucket_name", "file_name").alias("path"),
+    )
+    below_root = F.regexp_extract("path", "([^/]+/[^/]+)$", 1)
+    counts = file_stats(spark, root, "*.txt").withColumn("path", below_root)
+    return listed_stats(listed, counts).groupBy("label").agg(
+        *[F.sum(name).alias(name) for name in ("line_count", "word_count", "file_size_bytes")]
+    )
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -223,6 +255,7 @@ QUERIES = {
         notification_messages,
         notification_route,
         stream_notifications,
+        stream_requested_counts,
     )
 }
 
@@ -239,12 +272,9 @@ results AS (
     round(CAST(CAST(1 / list_sum(list_transform(z, lambda v: exp(v - list_max(z)))) AS FLOAT)
       AS DOUBLE), 4) AS confidence
   FROM logits)"""
-_NAME = """(CASE WHEN doc_id % 5 = 0 THEN 'archive' ELSE 'flower_photos' END || '/' || source || '/'
-  || doc_id || '.' || ['txt', 'csv', 'log', 'md', 'py', 'js', 'html', 'XML', 'json', 'jpg', 'bin',
-  'gz'][doc_id % 12 + 1])"""
 _EVENTS = f"""
 uploads AS (
-  SELECT doc_id, source, strlen(text) AS size,
+  SELECT doc_id, source, strlen(text) AS size, {_lines("text")} AS lines,
     CASE WHEN doc_id % 11 = 0 THEN source || '/' WHEN doc_id % 13 = 0 THEN '.' || source
          ELSE {_NAME} END AS name,
     CASE lang WHEN 'en' THEN 'OBJECT_FINALIZE' WHEN 'fr' THEN 'object.create'
@@ -285,7 +315,7 @@ SELECT 'file://' || source || '/' || name AS key,
   '{{"bucket_name":"' || source || '","file_name":"' || name || '","event_type":"' || "eventType"
   || '","time_created":"2024-01-15T00:00:00Z","file_path":"file://' || source || '/' || name
   || '","processing_request":"line_count","function_triggered_at":"2024-01-15T00:00:00Z"'
-  || ',"LINE_COUNT":-1,"FILE_SIZE":' || size || ',"PROCESSING_COMPLETE":true}}' AS value
+  || ',"LINE_COUNT":' || lines || ',"FILE_SIZE":' || size || ',"PROCESSING_COMPLETE":true}}' AS value
 FROM wanted""",
     "notification_route": """
 SELECT 'file://' || source || '/' || CASE WHEN doc_id % 7 <> 1 THEN doc_id::VARCHAR ELSE '' END
@@ -299,4 +329,6 @@ FROM documents""",
 SELECT CASE doc_id % 7 WHEN 1 THEN 'missing_fields' WHEN 2 THEN 'other_request'
             WHEN 3 THEN 'bad_json' ELSE 'ok' END AS route, count(*) AS messages
 FROM documents GROUP BY 1""",
+    "stream_requested_counts": f"""
+SELECT 'source=' || source AS label, line_count, word_count, file_size_bytes FROM ({_BY_SOURCE})""",
 }

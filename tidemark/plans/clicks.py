@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from tidemark.functions import clicks as fn
 from tidemark.operators import clicks as op
 from tidemark.session import new_path
-from tidemark.sinks.files import write_parquet
+from tidemark.sinks.files import register_table, write_parquet
 from tidemark.sources.tables import table
 
 DAMAGE_EVERY = 97
+RESULTS_TABLE = "tidemark_interval_results"
 
 
 def click_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,6 +105,12 @@ def interval_counts_zero_filled(spark: SparkSession, folder: str) -> DataFrame:
     return op.zero_filled(op.interval_counts(columnar(spark, folder)))
 
 
+def interval_counts_daytime(spark: SparkSession, folder: str) -> DataFrame:
+    """Clicks outside the night, whose interval is listed with none."""
+    day = columnar(spark, folder).filter(F.col("time_interval") != fn.INTERVAL_LABELS["plain"][0])
+    return op.zero_filled(op.interval_counts(day))
+
+
 def interval_share(spark: SparkSession, folder: str) -> DataFrame:
     return op.interval_share(op.interval_counts(valid(spark, folder)))
 
@@ -144,7 +151,10 @@ def interval_peak(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def interval_results_table(spark: SparkSession, folder: str) -> DataFrame:
-    return write_parquet(interval_detail(spark, folder), new_path(spark, "interval-results"))
+    """The stored results, read through an external table."""
+    path = new_path(spark, "interval-results")
+    write_parquet(interval_detail(spark, folder), path)
+    return register_table(spark, RESULTS_TABLE, path)
 
 
 QUERIES = {
@@ -158,6 +168,7 @@ QUERIES = {
         interval_counts,
         interval_counts_named,
         interval_counts_zero_filled,
+        interval_counts_daytime,
         interval_share,
         interval_detail,
         interval_detail_of_lines,
@@ -260,6 +271,12 @@ FROM events GROUP BY 1""",
 labels(interval_order, time_interval) AS (VALUES (0, '0-6'), (1, '6-12'), (2, '12-18'), (3, '18-24'))
 SELECT interval_order, time_interval,
   (SELECT count(*) FROM columnar c WHERE c.time_interval = l.time_interval) AS click_count
+FROM labels l""",
+    "interval_counts_daytime": f"""WITH {_COLUMNAR},
+labels(interval_order, time_interval) AS (VALUES (0, '0-6'), (1, '6-12'), (2, '12-18'), (3, '18-24'))
+SELECT interval_order, time_interval, (
+    SELECT count(*) FROM columnar c
+    WHERE c.time_interval = l.time_interval AND c.time_interval <> '0-6') AS click_count
 FROM labels l""",
     "interval_share": f"""WITH {_LOOSE},
 counts AS (SELECT time_interval, count(*) AS click_count FROM parsed WHERE status = 'OK' GROUP BY 1)
