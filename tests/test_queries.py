@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from tidemark.session import new_path, shared_dir, staging
 
 FOLDER = entry_module.SMOKE_FOLDER
 QUERIES = entry_module.queries()
@@ -40,9 +41,12 @@ def test_every_sql_belongs_to_a_query():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
-    df = QUERIES[name](spark, FOLDER)
-    rows = df.collect()
+    before = set(Path(shared_dir(spark)).iterdir())
+    with staging(spark):
+        df = QUERIES[name](spark, FOLDER)
+        rows = df.collect()
     assert rows
+    assert set(Path(shared_dir(spark)).iterdir()) == before, "staged tables are left behind"
     if name not in SQL:
         return
     result = oracle.execute(SQL[name])
@@ -51,5 +55,16 @@ def test_query(spark, oracle, name):
     assert comparable(df.columns, rows) == comparable(columns, result.fetchall())
 
 
+def test_staging_ends_with_its_block(spark):
+    with staging(spark) as outer:
+        with staging(spark) as inner:
+            assert inner.startswith(outer)
+            spark.range(3).write.parquet(new_path(spark, "kept"))
+            assert Path(inner).exists()
+        assert Path(outer).exists() and not Path(inner).exists()
+    assert not Path(outer).exists()
+    assert Path(new_path(spark, "later")).parent == Path(shared_dir(spark))
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() == 4

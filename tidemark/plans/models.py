@@ -19,6 +19,14 @@ from tidemark.sources.tables import table, table_path
 WIDTH = 64
 FOLDS = 3
 PARALLEL_FITS = 4
+HOLDOUT = 5  # every fifth vector is kept for the evaluation
+#: Rules "feature above threshold means an even label", which SQL can evaluate too.
+RULES = [
+    (number, feature, threshold)
+    for number, (feature, threshold) in enumerate(
+        ((f, t) for f in (0, 1, 2, 3) for t in ("-0.1", "0.0", "0.1")), 1
+    )
+]
 
 
 def _rounded(rows: DataFrame, *names: str) -> DataFrame:
@@ -71,9 +79,12 @@ def csv_training_load(spark: SparkSession, folder: str) -> DataFrame:
         path
     )
     loaded = training_data(spark, path, "csv", feature_names=names)
-    first = F.get(vector_to_array("features"), F.lit(0))
+    values = vector_to_array("features")
+    total = F.aggregate(values, F.lit(0.0), lambda so_far, value: so_far + value)
     return loaded.groupBy("label").agg(
-        F.count("*").alias("samples"), F.round(F.sum(first), 4).alias("first_feature_sum")
+        F.count("*").alias("samples"),
+        F.round(F.sum(F.get(values, F.lit(0))), 4).alias("first_feature_sum"),
+        F.round(F.sum(total), 3).alias("feature_sum"),
     )
 
 
@@ -98,6 +109,52 @@ def param_impact(spark: SparkSession, folder: str) -> DataFrame:
     return trees.param_impact(_search(spark, folder))
 
 
+def tree_holdout_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Report of a search over the training part, its metrics from the part kept away."""
+    rows = _vectors(spark, folder)
+    held = F.col("vec_id") % HOLDOUT == 0
+    train, test = rows.where(~held), rows.where(held)
+    model = trees.train_tree_cv(train, folds=FOLDS, parallelism=PARALLEL_FITS, fold_by="vec_id")
+    confusion = metrics.confusion_matrix(model.transform(test))
+    return trees.model_report(model, train, test, metrics.classification_metrics(confusion))
+
+
+def _rule_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Accuracy of every rule from one scan, in the form of a stored search."""
+    even = F.col("label") % 2 == 0
+    rows = table(spark, folder, "embeddings")
+    accuracies = rows.agg(
+        *[
+            F.avg(((F.get("embedding", F.lit(f)) > float(t)) == even).cast("int")).alias(f"m{n}")
+            for n, f, t in RULES
+        ]
+    )
+    entries = [
+        F.struct(
+            F.lit(number).alias("combination"),
+            F.lit(param).alias("param"),
+            F.lit(str(value)).alias("value"),
+            F.col(f"m{number}").alias("metric"),
+        )
+        for number, feature, threshold in RULES
+        for param, value in (("feature", feature), ("threshold", threshold))
+    ]
+    return accuracies.select(F.inline(F.array(*entries)))
+
+
+def rule_metric_stats(spark: SparkSession, folder: str) -> DataFrame:
+    rows = trees.cv_metric_stats(_rule_search(spark, folder))
+    return _rounded(rows, "best_metric", "worst_metric", "metric_std")
+
+
+def rule_param_impact(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(trees.param_impact(_rule_search(spark, folder)), "avg_metric")
+
+
+def rule_top_params(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(trees.top_params(_rule_search(spark, folder)), "metric")
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -110,6 +167,10 @@ QUERIES = {
         tree_predictions,
         cv_metric_stats,
         param_impact,
+        tree_holdout_report,
+        rule_metric_stats,
+        rule_param_impact,
+        rule_top_params,
     )
 }
 
@@ -126,7 +187,28 @@ scored AS (
                  ELSE 0 END AS f1
   FROM per_class)"""
 
+_RULE_VALUES = ", ".join(f"({n}, {f}, '{t}')" for n, f, t in RULES)
+_RULE_SEARCH = f"""
+rules(combination, feature, threshold) AS (VALUES {_RULE_VALUES}),
+searched AS (
+  SELECT combination, feature, threshold,
+    avg(((embedding[feature + 1]::DOUBLE > threshold::DOUBLE) = (label % 2 = 0))::INT) AS metric
+  FROM embeddings, rules GROUP BY ALL)"""
+
 SQL = {
+    "rule_metric_stats": f"""WITH {_RULE_SEARCH}
+SELECT count(*) AS combinations, round(max(metric), 6) AS best_metric,
+  round(min(metric), 6) AS worst_metric, round(stddev_samp(metric), 6) AS metric_std
+FROM searched""",
+    "rule_param_impact": f"""WITH {_RULE_SEARCH}
+SELECT param, value, round(avg(metric), 6) AS avg_metric, count(*) AS runs
+FROM (SELECT 'feature' AS param, feature::VARCHAR AS value, metric FROM searched
+  UNION ALL SELECT 'threshold', threshold, metric FROM searched)
+GROUP BY param, value""",
+    "rule_top_params": f"""WITH {_RULE_SEARCH}
+SELECT combination, round(metric, 6) AS metric,
+  'feature=' || feature || ', threshold=' || threshold AS params
+FROM searched ORDER BY searched.metric DESC, combination LIMIT 5""",
     "ml_label_distribution": """
 SELECT label, count(*) AS samples,
   round(count(*)::DOUBLE * 100 / sum(count(*)) OVER (), 1) AS percentage
@@ -153,6 +235,7 @@ SELECT CAST(label AS DOUBLE) AS label, count(*) AS samples, CAST(64 AS BIGINT) A
 FROM embeddings GROUP BY label""",
     "csv_training_load": """
 SELECT CAST(label AS DOUBLE) AS label, count(*) AS samples,
-  round(sum(embedding[1]::DOUBLE), 4) AS first_feature_sum
+  round(sum(embedding[1]::DOUBLE), 4) AS first_feature_sum,
+  round(sum(list_sum(list_transform(embedding, lambda v: v::DOUBLE))), 3) AS feature_sum
 FROM embeddings GROUP BY label""",
 }

@@ -6,6 +6,9 @@ import math
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,9 +78,29 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+_scope: ContextVar[str | None] = ContextVar("_scope", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_scope.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Removes at its end what the calling thread has staged inside.
+
+    Frames built inside read staged tables, so results have to be stored or
+    collected before the end. Tables staged without such a block stay.
+    """
+    folder = new_path(spark, "staging")
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
