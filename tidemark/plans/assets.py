@@ -20,14 +20,15 @@ from tidemark.plans.text_objects import _BY_SOURCE, _NAME, _lines, object_name
 from tidemark.session import new_path, ship_package, stage
 from tidemark.sinks.streams import to_files
 from tidemark.sources.files import binary_files
-from tidemark.sources.streams import binary_file_stream, notification_stream
+from tidemark.sources.streams import binary_file_stream, message_stream, notification_stream
 from tidemark.sources.tables import table, table_stream
 from tidemark.streaming import notifications
-from tidemark.streaming.assets import score_stream
+from tidemark.streaming.assets import image_messages, score_stream
 
 WIDTH = 64
 CLASSES = tuple(f"kind {i}" for i in range(10))
 MODEL = "sine-weights"
+TEXTS_PER_FILE = 200  # a file is one cell when read as binary
 
 
 def sine_model(model_id: str) -> scoring.Model:
@@ -74,6 +75,43 @@ def stream_score_top1(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(stored.drop("processed_at", "batch_id"))
 
 
+def stream_class_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The second result of the same stream: images per class, summed over its batches."""
+    target, checkpoint = new_path(spark, "counts"), new_path(spark, "counts-checkpoint")
+    vectors = _vectors(table_stream(spark, folder, "embeddings"))
+    score_stream(vectors, _top1(spark), target, checkpoint).awaitTermination()
+    stored = spark.read.parquet(f"{target}/class_counts")
+    return stored.groupBy("predicted_class").agg(F.sum("count").alias("images"))
+
+
+def doubles_of(content: bytes) -> np.ndarray:
+    """The numbers of a vector that was sent as text separated by blanks."""
+    return np.array(content.split(), dtype=np.float64)
+
+
+def stream_image_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors sent as base64 in JSON messages, scored by a stream; every seventh is damaged."""
+    numbers = F.transform("embedding", lambda x: x.cast("double").cast("string"))
+    damaged = F.col("vec_id") % 7 == 0
+    content = F.base64(F.array_join(numbers, " ").cast("binary"))
+    message = F.struct(
+        F.col("vec_id").cast("string").alias("image_id"),
+        F.when(damaged, "no base64!").otherwise(content).alias("image_data"),
+        F.concat(F.lit("vectors/"), "label", F.lit("/"), "vec_id").alias("path"),
+        F.col("label").cast("string").alias("label"),
+    )
+    source, target = new_path(spark, "images"), new_path(spark, "image-scores")
+    sent = table(spark, folder, "embeddings").select(F.to_json(message).alias("value"))
+    sent.write.json(source)
+    ship_package(spark)
+    top1 = scoring.top1_udf(MODEL, sine_model, CLASSES, decode=doubles_of)
+    images = image_messages(message_stream(spark, "file", path=source))
+    checkpoint = new_path(spark, "image-checkpoint")
+    score_stream(images, top1, target, checkpoint).awaitTermination()
+    stored = spark.read.parquet(f"{target}/predictions")
+    return _rounded(stored.drop("processed_at", "batch_id"))
+
+
 def score_top1(spark: SparkSession, folder: str) -> DataFrame:
     return _results(spark, folder).drop("processed_at")
 
@@ -91,9 +129,11 @@ def asset_label_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _written_assets(spark: SparkSession, folder: str) -> str:
-    """Document texts as files below one folder per source."""
+    """Document texts as files of bounded size below one folder per source."""
     path = new_path(spark, "assets") + f"/{scoring.objects.LABEL_FOLDER}"
-    table(spark, folder, "documents").select("source", "text").write.partitionBy("source").text(path)
+    texts = table(spark, folder, "documents").select("source", "text")
+    writer = texts.write.option("maxRecordsPerFile", TEXTS_PER_FILE)
+    writer.partitionBy("source").text(path)
     return path
 
 
@@ -246,6 +286,8 @@ QUERIES = {
     for function in (
         score_top1,
         stream_score_top1,
+        stream_class_counts,
+        stream_image_messages,
         latest_predictions,
         asset_label_counts,
         asset_catalog,
@@ -294,6 +336,14 @@ SELECT image_path, label, predicted_class, predicted_description, confidence FRO
 SQL = {
     "score_top1": _PREDICTIONS,
     "stream_score_top1": _PREDICTIONS,
+    "stream_class_counts": f"""WITH {_SCORES}
+SELECT predicted_class, count(*) AS images FROM results GROUP BY predicted_class""",
+    "stream_image_messages": f"""WITH {_SCORES}
+SELECT image_path, label,
+  CASE WHEN vec_id % 7 = 0 THEN 'unknown' ELSE predicted_class END AS predicted_class,
+  CASE WHEN vec_id % 7 = 0 THEN 'unknown' ELSE predicted_description END AS predicted_description,
+  CASE WHEN vec_id % 7 = 0 THEN 0.0 ELSE confidence END AS confidence
+FROM results""",
     "latest_predictions": f"""WITH {_SCORES}
 SELECT image_path, label, predicted_class, predicted_description, confidence,
   TIMESTAMP '1970-01-01' + vec_id * INTERVAL 1 SECOND AS processed_at
