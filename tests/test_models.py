@@ -172,3 +172,28 @@ def test_text_labels_and_unseen_categories(spark):
     unseen = spark.createDataFrame([("red", Vectors.dense(0.0, 9.0))], ["color", "features"])
     named = trees.with_label_names(model.transform(df.union(unseen)), model.stages[0].labels)
     assert named.filter("predicted_label <> color").count() == 0
+
+
+def test_holdout_report_agrees_with_its_predictions(spark):
+    """Sizes follow the split; the metrics are those of the evaluator on the rows kept away."""
+    rng = random.Random(5)
+    rows = []
+    for vec_id in range(200):
+        label = rng.choice([0.0, 1.0])
+        rows.append((vec_id, label, Vectors.dense([label + rng.random() * 1.2, rng.random()])))
+    df = spark.createDataFrame(rows, ["vec_id", "label", "features"])
+    held = F.col("vec_id") % 5 == 0
+    train, test = df.where(~held), df.where(held)
+    model = trees.train_tree_cv(train, {"maxDepth": [1, 2]}, folds=2, fold_by="vec_id")
+    predicted = model.transform(test)
+    confusion = metrics.confusion_matrix(predicted)
+    counts = {}
+    for r in predicted.select("label", "prediction").collect():
+        counts[tuple(r)] = counts.get(tuple(r), 0) + 1
+    assert {(r[0], r[1]): r[2] for r in confusion.collect()} == counts
+    report = trees.model_report(model, train, test, metrics.classification_metrics(confusion))
+    values = {(r["section"], r["name"]): r["value"] for r in report.collect()}
+    assert values["data", "training_samples"] == "160"
+    assert values["data", "test_samples"] == "40"
+    for name, value in trees.evaluator_metrics(predicted).items():
+        assert float(values["metrics", name]) == pytest.approx(value), name

@@ -309,3 +309,11 @@ def test_kafka_is_only_named_here(spark):
     messages_out = spark.createDataFrame([("k", "{}")], "key string, value string")
     with pytest.raises(Exception, match="(?i)kafka"):
         write_messages(messages_out, "localhost:1", "t")
+
+
+def test_latest_row_of_each_window_counts(spark):
+    from tidemark.plans.transactions import latest_windows
+
+    rows = [("a", 1, 0), ("b", 5, 0), ("a", 3, 2), ("a", 2, 1), ("c", None, 1)]
+    stored = spark.createDataFrame(rows, "window_start string, record_count int, batch_id long")
+    assert tuples(latest_windows(stored)) == [("a", 3), ("b", 5), ("c", None)]
