@@ -221,3 +221,14 @@ def test_licence_base_by_brute_force(docs_of, texts):
     assert labels[6] == ""
     assert all(0 <= row[7] <= 1 for row in got)
     assert licenses.scan_licenses(docs_of([])).count() == 0
+
+
+def test_licence_words_common_in_all_documents_still_count(docs_of):
+    """A hot notice, and fewer than 50 documents: no word is too common to be looked up."""
+    notice = "Licensed under the MIT License"
+    hot = [(k, notice if k % 2 else f"plain text {k}") for k in range(200)]
+    labels = {r.doc_id: r.labels for r in licenses.scan_licenses(docs_of(hot)).collect()}
+    assert labels == {k: "mit" if k % 2 else "" for k in range(200)}
+    few = [(0, notice), (1, "Licensed under the Apache License, Version 2.0")]
+    labels = {r.doc_id: r.labels for r in licenses.scan_licenses(docs_of(few)).collect()}
+    assert labels == {0: "mit", 1: "apache-2.0"}

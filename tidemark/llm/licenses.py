@@ -24,7 +24,6 @@ from tidemark.session import ship_package
 
 LOOKED_UP = 8  # rarest licence words of a file
 LEAST_SHARE = 0.6
-COMMON_SHARE = 0.02  # words in more of the documents than this propose no starts
 
 #: The base phrases, each with its label.
 BASE = (
@@ -122,9 +121,6 @@ class Index:
             word: math.log((documents + 2) / (containing.get(word, 0) + 1))
             for word in self.vocabulary
         }
-        self.common = {
-            word for word in self.vocabulary if containing.get(word, 0) > COMMON_SHARE * documents
-        }
         self.total = [sum(self.weight[w] for w in words) for words in self.words]
         # Each base phrase is looked up by its rarest word.
         self.anchors = [
@@ -142,10 +138,7 @@ class Index:
             starts = (place - anchor for place in places.get(phrase[anchor], ()))
             base.append([s for s in starts if s >= 0 and _stands(words, s, phrase)])
 
-        rare = sorted(
-            (w for w in places if w in self.postings and w not in self.common),
-            key=lambda w: (-self.weight[w], w),
-        )
+        rare = sorted((w for w in places if w in self.postings), key=lambda w: (-self.weight[w], w))
         proposed: set[tuple[int, int]] = set()
         for word in rare[:LOOKED_UP]:
             for number, at in self.postings[word]:
