@@ -232,3 +232,25 @@ def test_licence_words_common_in_all_documents_still_count(docs_of):
     few = [(0, notice), (1, "Licensed under the Apache License, Version 2.0")]
     labels = {r.doc_id: r.labels for r in licenses.scan_licenses(docs_of(few)).collect()}
     assert labels == {0: "mit", 1: "apache-2.0"}
+
+
+def test_every_notice_of_a_file_is_found():
+    """All templates in one file, whatever the frequencies; by hand against all starts."""
+    source = random.Random(6)
+    for _ in range(20):
+        index = licenses.Index()
+        index.weigh(1000, {word: source.randint(0, 1000) for word in sorted(index.vocabulary)})
+        chosen = source.sample(licenses.TEMPLATES, source.randint(1, len(licenses.TEMPLATES)))
+        words = licenses.words_of(" filler ".join(t.text for t in chosen).encode())
+        _, found = index.scan(words)
+        assert found.keys() >= {t.label for t in chosen}
+        expected = set()
+        for number, keys in enumerate(index.key_places):
+            for start in range(-30, len(words)):
+                if index._share(words, number, start) >= licenses.LEAST_SHARE and all(
+                    licenses._stands(words, start + at, key) for key, at in keys
+                ):
+                    expected.add(index.labels[number])
+        assert found.keys() == expected
+    two = licenses.TEMPLATES[3].text + " Licensed under the Apache License, Version 2.0"
+    assert index.scan(licenses.words_of(two.encode()))[1].keys() == {"mit", "apache-2.0"}

@@ -1,12 +1,12 @@
 """License scans with a positional index of rare words.
 
 Templates are short word sequences. Their postings say, for each word, in which
-template and at which place it stands. A file's licence words are ranked by
-their inverse document frequency over the whole corpus; the rarest are looked
-up, every occurrence proposes a start for each template it is filed under, and
-starts on which the words agree in relative position collect weight. A template
-counts if its aligned words reach ``LEAST_SHARE`` of its weight and all of its
-key phrases stand word by word where the alignment says.
+template and at which place it stands. Licence words are ranked by their inverse
+document frequency over the whole corpus. A template counts if its aligned words
+reach ``LEAST_SHARE`` of its weight and all of its key phrases stand word by word
+where the alignment says. So each template is filed under the rarest word of its
+key phrases, and every occurrence of that word in a file proposes a start: no
+template that counts is left out, however many notices a file has.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
 
-LOOKED_UP = 8  # rarest licence words of a file
 LEAST_SHARE = 0.6
 
 #: The base phrases, each with its label.
@@ -105,10 +104,6 @@ class Index:
         self.words = [tuple(t.text.encode().split()) for t in templates]
         self.keys = [[tuple(k.encode().split()) for k in t.keys] for t in templates]
         self.vocabulary = {w for words in (*self.words, *self.base) for w in words}
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for number, words in enumerate(self.words):
-            for place, word in enumerate(words):
-                self.postings[word].append((number, place))
         self.key_places = [
             [(key, _find(words, key)) for key in keys]
             for words, keys in zip(self.words, self.keys)
@@ -126,6 +121,12 @@ class Index:
         self.anchors = [
             max(range(len(p)), key=lambda k, p=p: (self.weight[p[k]], -k)) for p in self.base
         ]
+        # Each template is filed under the rarest word of its key phrases.
+        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        for number, (words, keys) in enumerate(zip(self.words, self.key_places)):
+            inside = {at + k for key, at in keys for k in range(len(key))}
+            place = max(inside, key=lambda k, words=words: (self.weight[words[k]], -k))
+            self.postings[words[place]].append((number, place))
 
     def scan(self, words: list[bytes]) -> tuple[list[list[int]], dict[str, float]]:
         """Places of each base phrase, and the share of each label whose template was found."""
@@ -138,19 +139,19 @@ class Index:
             starts = (place - anchor for place in places.get(phrase[anchor], ()))
             base.append([s for s in starts if s >= 0 and _stands(words, s, phrase)])
 
-        rare = sorted((w for w in places if w in self.postings), key=lambda w: (-self.weight[w], w))
-        proposed: set[tuple[int, int]] = set()
-        for word in rare[:LOOKED_UP]:
-            for number, at in self.postings[word]:
-                proposed.update((number, place - at) for place in places[word])
+        proposed = {
+            (number, place - at)
+            for word, filed in self.postings.items()
+            for number, at in filed
+            for place in places.get(word, ())
+        }
         found: dict[str, float] = {}
         for number, start in proposed:
-            share = self._share(words, number, start)
-            if share >= LEAST_SHARE and all(
-                _stands(words, start + at, key) for key, at in self.key_places[number]
-            ):
-                label = self.labels[number]
-                found[label] = max(found.get(label, 0.0), share)
+            if all(_stands(words, start + at, key) for key, at in self.key_places[number]):
+                share = self._share(words, number, start)
+                if share >= LEAST_SHARE:
+                    label = self.labels[number]
+                    found[label] = max(found.get(label, 0.0), share)
         return base, found
 
     def _share(self, words: list[bytes], number: int, start: int) -> float:
