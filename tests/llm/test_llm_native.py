@@ -196,6 +196,35 @@ def test_further_kinds_need_checksum_or_context(spark):
     assert all(0 < float(x.rsplit(":", 1)[1]) <= 1 for x in rows[0].scores.split(","))
 
 
+SPACED, PLAIN = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+ACCOUNTS = [
+    (f"iban {PLAIN} Please pay", [PLAIN]),
+    (f"iban {SPACED} BIC COBADEFFXXX", [SPACED]),
+    (f"account {PLAIN} 2 days", [PLAIN]),
+    (f"account {SPACED} I paid", [SPACED]),
+    (f"iban {PLAIN} {SPACED} {PLAIN}", [PLAIN, SPACED, PLAIN]),
+    (f"iban {SPACED} {SPACED}", [SPACED, SPACED]),
+    (f"iban é😀 {SPACED} 漢 {PLAIN}. {PLAIN}", [SPACED, PLAIN, PLAIN]),
+    (f"bank {SPACED}", [SPACED]),
+    ("iban MT84 MALT 0110 0001 2345 MTLC AST0 01S AND MORE", ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"]),
+    ("iban NO93 8601 1117 947 A B C", ["NO93 8601 1117 947"]),
+    (f"iban {PLAIN}X {PLAIN}x x{PLAIN} DE88 3704 0044 0532 0130 00 Pay", []),
+]
+
+
+def test_account_numbers_before_capitals_digits_and_others(spark):
+    df = spark.createDataFrame(
+        [(k, t, len(t)) for k, (t, _) in enumerate(ACCOUNTS)],
+        "doc_id bigint, text string, n_chars int",
+    )
+    for row in pii.with_spans(df).collect():
+        assert [s.value for s in row.pii.iban] == ACCOUNTS[row.doc_id][1], row.text
+        assert all(row.text[s.start : s.end] == s.value for s in row.pii.iban)
+    left = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert left[0] == "iban [IBAN] Please pay"
+    assert left[4] == "iban [IBAN] [IBAN] [IBAN]"
+
+
 def test_redact(docs_of):
     pairs = [(1, "mail a@b.cd now"), (2, None), (3, ""), (4, "+1 10.20.30.40 99 x"),
              (None, "10.0.0.1"), (5, "clean"), (5, "clean")]

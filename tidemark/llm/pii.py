@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import find_spans, listed, redacted
+from tidemark.llm.spans import EMPTY, find_spans, listed, redacted
 
 #: [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
 EMAIL = (
@@ -25,12 +25,24 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
 #: The plain form.
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: The head of an account number with enough behind it; where it ends is tested apart.
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn")
 
+#: Characters of an account number, by the registry's country codes.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_SIZES = range(15, 35)
+_IBAN_REACH = 2 * max(_IBAN_SIZES)  # with a space before each character and one behind
+
 LEAST_SCORE = 0.6  # for spans beyond the base kinds; base spans stay
 NEARBY = 40  # code points on either side that count as context
 CONTEXT_ADDS = 0.3
@@ -83,12 +95,79 @@ def _small_parts(value: Column) -> Column:
     return value.rlike(rf"^{part}(?:\.{part}){{3}}$")
 
 
+def account_numbers(text: Column) -> Column:
+    """Spans of account numbers of 15 to 34 characters, single spaces between them allowed.
+
+    Each head is followed to every place where a word ends. Of the ends that pass
+    modulo 97 the one of the country's length counts, else the last. A span
+    within one before it is left out.
+    """
+    of_country = "|".join(
+        f"(?:{codes.replace(' ', '|')}).{{{size - 2}}}" for size, codes in IBAN_LENGTHS.items()
+    )
+
+    def whole(head: Column) -> Column:
+        ahead = F.substr(text, head["start"] + 1, F.lit(_IBAN_REACH))
+        ends = F.array(
+            *[
+                F.regexp_extract(
+                    ahead, rf"^[A-Z0-9](?:\x20?[A-Z0-9]){{{size - 1}}}(?![A-Za-z0-9])", 0
+                )
+                for size in _IBAN_SIZES
+            ]
+        )
+        # One-element arrays bind a value, so it is computed once.
+        passing = F.transform(
+            F.array(ends),
+            lambda found: F.filter(found, lambda x: (x != "") & passes_mod97(x)),
+        )
+        value = F.element_at(
+            F.transform(
+                passing,
+                lambda found: F.coalesce(
+                    F.get(
+                        F.filter(
+                            found,
+                            lambda x: F.regexp_replace(x, " ", "").rlike(f"^(?:{of_country})$"),
+                        ),
+                        F.lit(0),
+                    ),
+                    F.get(F.reverse(found), F.lit(0)),
+                ),
+            ),
+            1,
+        )
+        return F.element_at(
+            F.transform(
+                F.array(value),
+                lambda v: F.struct(
+                    head["kind"].alias("kind"),
+                    head["start"].alias("start"),
+                    (head["start"] + F.length(v)).alias("end"),
+                    v.alias("value"),
+                ),
+            ),
+            1,
+        )
+
+    heads = find_spans(text, IBAN, "iban")
+    spans = F.filter(F.transform(heads, whole), lambda span: span["value"].isNotNull())
+    apart = F.aggregate(
+        spans,
+        F.array().cast(EMPTY),
+        lambda done, span: F.when(
+            F.exists(done, lambda x: x["end"] >= span["end"]), done
+        ).otherwise(F.concat(done, F.array(span))),
+    )
+    return F.when(F.size(heads) > 0, apart).otherwise(F.array().cast(EMPTY))
+
+
 _RULES: dict[str, tuple[str, Callable[[Column], Column] | None]] = {
     "email": (EMAIL, None),
     "ip": (IP, _small_parts),
     "card": (CARD, passes_luhn),
     "phone": (PHONE, lambda value: F.length(_digits(value)).between(9, 15)),
-    "iban": (IBAN, passes_mod97),
+    "iban": (IBAN, None),
     "ssn": (SSN, None),
 }
 
@@ -122,7 +201,9 @@ def with_spans(docs: DataFrame, name: str = "pii") -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     found = []
     for kind, (pattern, keep) in _RULES.items():
-        spans = find_spans(text, pattern, kind, keep)
+        spans = (
+            account_numbers(text) if kind == "iban" else find_spans(text, pattern, kind, keep)
+        )
         if kind not in BASE_KINDS:
             spans = F.filter(spans, _confident(text, kind))
         found.append(spans.alias(kind))
