@@ -178,6 +178,25 @@ def test_near_counts_by_brute_force(spark, radius, monkeypatch):
     assert got == sorted(expected, key=repr)
 
 
+def test_near_documents_by_brute_force(spark):
+    source = random.Random(5)
+    base = [source.getrandbits(64) - (1 << 63) for _ in range(10)]
+    words = [b ^ 1 << source.randrange(63) ^ 1 << source.randrange(63) for b in base for _ in range(9)]
+    ids = [*range(100), None]
+    pairs = list(zip(ids, words + base + base[:1]))
+    rows = spark.createDataFrame(pairs, "doc_id bigint, fp bigint")
+    expected = {
+        (w, x, ((w ^ x) & (1 << 64) - 1).bit_count(), i)
+        for k, w in pairs if k is not None and k % 10 == 0
+        for i, x in pairs if ((w ^ x) & (1 << 64) - 1).bit_count() <= 3
+    }
+    got = rows_of(fingerprints.near_documents(rows, step=10))
+    assert got == sorted(expected, key=repr)
+    n_near = {r.fp: r.n_near for r in fingerprints.with_near(rows, step=10).collect()
+              if r.n_near is not None}
+    assert n_near == {w: n - 1 for w, n in Counter(row[0] for row in got).items()}
+
+
 # ------------------------------------------------------------------ op 6
 
 LICENCES = [

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.session import ship_package, stage
+from tidemark.session import new_path, ship_package, stage
 
 BITS = 64
 SEED = 42
@@ -183,8 +183,13 @@ def _entries(fps: DataFrame, masks: list[int]) -> DataFrame:
     return fps.select("*", F.inline(F.array(*keys)))
 
 
-def near_counts(fps: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """For each distinct ``fp`` of ``queries``: ``n_within``, the rows of ``fps`` within ``radius`` bits.
+def near_pairs(fps: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """For each distinct ``fp`` of ``queries``, what distinct ``found`` of ``fps`` lie within ``radius`` bits.
+
+    One row per pair with the number of differing ``bits`` and ``n``, the rows of
+    ``fps`` with ``found``. A fingerprint finds itself at 0 bits; NULL finds
+    nothing. Pairs of a query are bounded by the words within the radius, not by
+    the rows. The documents are those of ``fps`` by ``found``.
 
     Equal fingerprints are counted first, so copies are looked at once. Only
     keys that a query asks for are kept. What is filed under one key is cut into
@@ -215,20 +220,49 @@ def near_counts(fps: DataFrame, queries: DataFrame, radius: int = RADIUS) -> Dat
         )
         return (F.bit_count(apart) <= radius) & (first == F.col("place") + 1)
 
-    here = F.aggregate(F.filter("words", counts), F.lit(0).cast("bigint"), lambda n, w: n + w["n"])
-    return (
-        meets.select(F.col("query").alias("fp"), here.alias("here"))
-        .groupBy("fp")
-        .agg(F.sum("here").alias("n_within"))
+    return meets.select("query", F.explode(F.filter("words", counts)).alias("word")).select(
+        F.col("query").alias("fp"),
+        F.col("word.fp").alias("found"),
+        F.bit_count(F.col("word.fp").bitwiseXOR(F.col("query"))).alias("bits"),
+        F.col("word.n").alias("n"),
     )
 
 
+def _is_query(step: int) -> Column:
+    return F.coalesce(F.col("doc_id") % step == 0, F.lit(False))
+
+
+def write_near(rows: DataFrame, path: str, radius: int = RADIUS, step: int = QUERY_STEP) -> None:
+    """Writes the search of ids divisible by ``step`` as two tables under ``path``.
+
+    ``pairs`` is what ``near_pairs`` gives, ``members`` has the ``fp`` and
+    ``doc_id`` of every row; joined on ``found`` they name the documents.
+    """
+    rows.select("fp", "doc_id").write.parquet(f"{path}/members")
+    members = rows.sparkSession.read.parquet(f"{path}/members")
+    pairs = near_pairs(members.select("fp"), members.where(_is_query(step)), radius)
+    pairs.write.parquet(f"{path}/pairs")
+
+
 def with_near(rows: DataFrame, radius: int = RADIUS, step: int = QUERY_STEP) -> DataFrame:
     """Adds ``n_near``: other rows within ``radius`` bits, for ids divisible by ``step``, else NULL."""
     stored = stage(rows, "fingerprints")
-    is_query = F.coalesce(F.col("doc_id") % step == 0, F.lit(False))
+    is_query = _is_query(step)
     queries = stored.where(is_query)
-    found = near_counts(stored.select("fp"), queries, radius)
+    pairs = stage(near_pairs(stored.select("fp"), queries, radius), "near-pairs")
+    found = pairs.groupBy("fp").agg(F.sum("n").alias("n_within"))
     answered = queries.join(found, "fp").withColumn("n_near", F.col("n_within") - 1)
     rest = stored.where(~is_query).withColumn("n_near", F.lit(None).cast("bigint"))
     return answered.select(*rest.columns).unionByName(rest)
+
+
+def near_documents(rows: DataFrame, radius: int = RADIUS, step: int = QUERY_STEP) -> DataFrame:
+    """Each fingerprint of ids divisible by ``step`` with every document found within ``radius`` bits.
+
+    Copies of a query are asked once: one row per query fingerprint and row of ``rows``.
+    """
+    path = new_path(rows.sparkSession, "near")
+    write_near(rows, path, radius, step)
+    read = rows.sparkSession.read.parquet
+    members = read(f"{path}/members").withColumnRenamed("fp", "found")
+    return read(f"{path}/pairs").join(members, "found").select("fp", "found", "bits", "doc_id")

@@ -19,6 +19,7 @@ from tidemark.llm import (
     token_trees,
     warc,
 )
+from tidemark.session import new_path
 from tidemark.sources.tables import table
 
 PACKING_TOKENIZER = "byte_bpe_50k.json"
@@ -62,6 +63,19 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_near_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The pairs that ``n_near`` of ``op4_fingerprints`` counts; its rows name the documents of ``found``."""
+    docs = table(spark, folder, "documents")
+    path = new_path(spark, "near")
+    fingerprints.write_near(fingerprints.edited_fingerprints(docs), path)
+    return spark.read.parquet(f"{path}/pairs").select(
+        simhash_pivots.hex16(F.col("fp")).alias("fingerprint"),
+        simhash_pivots.hex16(F.col("found")).alias("found"),
+        "bits",
+        "n",
+    )
+
+
 def op5_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -119,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_pivots": op2_simhash_pivots,
     "op3_best_fit": op3_best_fit,
     "op4_fingerprints": op4_fingerprints,
+    "op4_near_pairs": op4_near_pairs,
     "op5_string_tiling": op5_string_tiling,
     "op6_licenses": op6_licenses,
     "op7_quality": op7_quality,
