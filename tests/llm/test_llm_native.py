@@ -351,6 +351,37 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert not [k for k in found if k >= 200]
 
 
+UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
+ALPHABETS = {
+    "hex": "0123456789ABCDEF", "base32": UPPER + "234567", "base36": LOWER + string.digits,
+    "alphanumeric": UPPER + LOWER + string.digits,
+    "base64": UPPER + LOWER + string.digits + "+/",
+}
+#: Least share found alone in a document, by encoding and length.
+RECALL = {
+    "hex": {16: 0.45, 24: 0.85, 32: 0.95}, "base32": {16: 0.6, 24: 0.8, 32: 0.94},
+    "base36": {16: 0.6, 24: 0.88, 32: 0.95}, "alphanumeric": {16: 0.78, 24: 0.95, 32: 0.97},
+    "base64": {16: 0.78, 24: 0.95, 32: 0.97},
+}
+
+
+def test_recall_by_encoding_and_length(spark):
+    source = random.Random(11)
+    cases = [(f"{name} {n}", "".join(source.choices(ALPHABETS[name], k=n)))
+             for name, lengths in RECALL.items() for n in lengths for _ in range(300)]
+    texts = spark.createDataFrame(
+        [(k, f"a {v} b") for k, (_, v) in enumerate(cases)], "doc_id bigint, text string")
+    hit = {r.doc_id for r in secret_scan.secrets(texts).collect() if "random" in r.spans}
+    total, found = {}, {}
+    for k, (case, _) in enumerate(cases):
+        total[case] = total.get(case, 0) + 1
+        found[case] = found.get(case, 0) + (k in hit)
+    shares = {case: round(found[case] / total[case], 3) for case in total}
+    for name, lengths in RECALL.items():
+        for n, least in lengths.items():
+            assert shares[f"{name} {n}"] >= least, shares
+
+
 # -------------------------------------------------------------- pipeline
 
 

@@ -12,14 +12,19 @@ numbers) of the same length and encoding look like:
 * serial correlation of neighbouring character codes: keyboard and counting
   sequences are correlated far beyond chance and are never reported.
 
-Expectations and deviations follow the length, so short tokens need a stronger
-showing. The first two give one p-value (Stouffer). Within a document the
+Expectations follow the encoding, deviations the length, so short tokens need a
+stronger showing; how short a tested token may be follows from the same. The first two give one p-value (Stouffer). Within a document the
 p-values, weighted by length, pass the Benjamini-Hochberg step-up at ``RATE``,
 which bounds the expected share of ordinary tokens among those reported.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import count
+from statistics import NormalDist
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,15 +39,51 @@ ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 LEAST_VALUE = 6
 
-LEAST_LENGTH = 20
-TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_LENGTH},}}+"
 RATE = 0.01
 MOST_CORRELATED = 3.0
-
-#: Share of equal pairs and of class changes in ordinary tokens, by encoding.
-_HEX_PAIRS, _PAIRS, _CHANGES = 0.15, 0.065, 0.2
 _SPREAD = 1.5  # ordinary tokens scatter more than independent draws
 
+
+class Encoding(NamedTuple):
+    classes: tuple[int, ...]  # characters of each class in its alphabet
+    pairs: float  # share of equal pairs in ordinary tokens
+    changes: float  # share of class changes in ordinary tokens
+
+
+#: Fixed values. Ordinary tokens of one case have their digits in one place, at the end mostly.
+ENCODINGS = {
+    "hex": Encoding((6, 10), 0.15, 0.2),
+    "base32": Encoding((26, 6), 0.065, 0.04),
+    "base36": Encoding((26, 10), 0.065, 0.08),
+    "alphanumeric": Encoding((26, 26, 10), 0.065, 0.2),
+    "base64": Encoding((26, 26, 10, 2), 0.065, 0.2),
+}
+
+
+def least_length(code: Encoding) -> int:
+    """From which length a random token, showing what is expected of it, reaches ``RATE`` by itself.
+
+    Shorter ones are ordinary for all the battery can tell; testing them would
+    only make the control stricter for the others.
+    """
+    size = sum(code.classes)
+    changing = 1 - sum((c / size) ** 2 for c in code.classes)
+
+    def z(n: int) -> float:
+        pairs, changes = n * (n - 1) / 2, n - 1
+        uniform = pairs * (code.pairs - 1 / size) / math.sqrt(pairs * code.pairs)
+        scatter = math.sqrt(changes * code.changes * (1 - code.changes))
+        runs = changes * (changing - code.changes) / scatter
+        return (uniform + runs) / _SPREAD / math.sqrt(2)
+
+    return next(n for n in count(2) if z(n) >= NormalDist().inv_cdf(1 - RATE))
+
+
+LEAST_LENGTHS = {name: least_length(code) for name, code in ENCODINGS.items()}
+TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{min(LEAST_LENGTHS.values())},}}+"
+#: Letters of one class never change it, and no length makes up for that.
+WORD = "^(?:[A-Z]?[a-z]+|[A-Z]+)$"
+
 KINDS = ("assign", "access", "hex")
 
 
@@ -52,11 +93,22 @@ def encoding(value: Column) -> Column:
         F.when(value.rlike("^[0-9]+$"), F.lit(None))
         .when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "hex")
         .when(value.rlike("^[A-Z2-7]+=*$"), "base32")
+        .when(value.rlike("^(?:[a-z]*[0-9][a-z0-9]*|[A-Z]*[0-9][A-Z0-9]*)$"), "base36")
         .when(value.rlike("^[A-Za-z0-9]+$"), "alphanumeric")
         .otherwise("base64")
     )
 
 
+def _of_encoding(code: Column, values: dict[str, float]) -> Column:
+    return F.coalesce(*[F.when(code == name, F.lit(v)) for name, v in values.items()])
+
+
+def is_tested(value: Column) -> Column:
+    """Whether the battery can tell a random token of this length and encoding."""
+    least = _of_encoding(encoding(value), LEAST_LENGTHS)
+    return ~value.rlike(WORD) & F.coalesce(F.length(value) >= least, F.lit(False))
+
+
 def _normal_tail(z: Column) -> Column:
     """Upper tail of the normal distribution (logistic approximation, error below 0.0002)."""
     return 1 / (1 + F.exp(F.lit(1.5976) * z + F.lit(0.07056) * z * z * z))
@@ -105,11 +157,12 @@ def ordinary_p(value: Column) -> Column:
     """How likely an ordinary token of this length and encoding looks as random as this one."""
     n = F.length(value).cast("double")
     code = encoding(value)
-    share = F.when(code == "hex", _HEX_PAIRS).otherwise(_PAIRS)
+    share = _of_encoding(code, {name: x.pairs for name, x in ENCODINGS.items()})
+    usual = _of_encoding(code, {name: x.changes for name, x in ENCODINGS.items()})
     pairs = n * (n - 1) / 2 * share
     uniform = (pairs - _equal_pairs(value)) / (F.sqrt(pairs) * _SPREAD)
-    changes = (n - 1) * _CHANGES
-    spread = F.sqrt(changes * (1 - _CHANGES)) * _SPREAD
+    changes = (n - 1) * usual
+    spread = F.sqrt(changes * (1 - usual)) * _SPREAD
     runs = (_class_changes(value) - changes) / spread
     p = _normal_tail((uniform + runs) / F.sqrt(F.lit(2.0)))
     sequence = F.abs(_correlation(value)) > MOST_CORRELATED
@@ -181,7 +234,7 @@ def with_secrets(docs: DataFrame, name: str = "secrets") -> DataFrame:
                     find_spans(text, ASSIGN, "assign", long_enough).alias("_assign"),
                     find_spans(text, ACCESS, "access").alias("_access"),
                     find_spans(text, HEX, "hex").alias("_hex"),
-                    find_spans(text, TOKEN, "random").alias("_token"),
+                    find_spans(text, TOKEN, "random", is_tested).alias("_token"),
                 )
             )
         ),
