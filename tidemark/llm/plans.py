@@ -13,6 +13,7 @@ from tidemark.llm import (
     licenses,
     pii,
     quality,
+    resampling,
     secret_scan,
     simhash_pivots,
     tiling,
@@ -122,6 +123,12 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(table(spark, folder, "documents"))
 
 
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents drawn towards the benchmark's words; odd rows as ``resampling.resampled`` says."""
+    docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resampling.resampled(docs, target).drop("n_words")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -140,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_trees": op8_token_trees,
     "op9_pii": op9_pii,
     "op10_secrets": op10_secrets,
+    "op11_resampling": op11_resampling,
     "pipeline": pipeline,
 }
 
