@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     best_fit,
     fingerprints,
     licenses,
@@ -16,6 +17,7 @@ from tidemark.llm import (
     resampling,
     secret_scan,
     simhash_pivots,
+    site_trees,
     tiling,
     token_trees,
     warc,
@@ -24,6 +26,8 @@ from tidemark.session import new_path
 from tidemark.sources.tables import table
 
 PACKING_TOKENIZER = "byte_bpe_50k.json"
+PACKING_RANKS = "byte_bpe_50k.tiktoken"  # the same vocabulary
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = PACKING_TOKENIZER) -> str:
@@ -129,6 +133,17 @@ def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resampled(docs, target).drop("n_words")
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Alignment of a byte-level and a piece vocabulary; odd rows as ``alignment.aligned`` says."""
+    paths = map(tokenizer_path, (PACKING_TOKENIZER, PIECE_TOKENIZER, PACKING_RANKS))
+    return alignment.aligned(table(spark, folder, "documents"), *paths)
+
+
+def op13_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page; odd rows as ``site_trees.main_texts`` says."""
+    return site_trees.main_texts(table(spark, folder, "pages"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -148,6 +163,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_secrets": op10_secrets,
     "op11_resampling": op11_resampling,
+    "op12_alignment": op12_alignment,
+    "op13_html": op13_html,
     "pipeline": pipeline,
 }
 
