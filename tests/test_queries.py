@@ -12,16 +12,19 @@ import __spark_entry__ as entry_module
 from tidemark.session import new_path, shared_dir, staging
 
 FOLDER = entry_module.SMOKE_FOLDER
+LARGER = FOLDER.replace("0.001", "0.01")  # more batches, windows and partitions
 QUERIES = entry_module.queries()
 SQL = entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def oracle():
-    connection = duckdb.connect()
-    for path in Path(FOLDER).glob("*.parquet"):
-        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
-    return connection
+def oracles():
+    found = {}
+    for folder in (FOLDER, LARGER):
+        found[folder] = duckdb.connect()
+        for path in Path(folder).glob("*.parquet"):
+            found[folder].execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return found
 
 
 def comparable(columns, rows):
@@ -39,17 +42,20 @@ def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, oracle, name):
+CASES = [(name, FOLDER) for name in sorted(QUERIES)] + [(name, LARGER) for name in sorted(SQL)]
+
+
+@pytest.mark.parametrize("name, folder", CASES)
+def test_query(spark, oracles, name, folder):
     before = set(Path(shared_dir(spark)).iterdir())
     with staging(spark):
-        df = QUERIES[name](spark, FOLDER)
+        df = QUERIES[name](spark, folder)
         rows = df.collect()
     assert rows
     assert set(Path(shared_dir(spark)).iterdir()) == before, "staged tables are left behind"
     if name not in SQL:
         return
-    result = oracle.execute(SQL[name])
+    result = oracles[folder].execute(SQL[name])
     columns = [column[0] for column in result.description]
     assert sorted(columns) == sorted(df.columns)
     assert comparable(df.columns, rows) == comparable(columns, result.fetchall())

@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 from conftest import tuples
 from tidemark import schemas
 from tidemark.operators import transactions as op
+from tidemark.operators.transactions import Transactions
 from tidemark.sinks import streams as sinks
 from tidemark.sinks.files import write_messages
 from tidemark.sources import streams as sources
 from tidemark.streaming import batch_log, messages, notifications
 from tidemark.streaming.arrivals import stream_line_counts
-from tidemark.streaming.replay import replay_batches
+from tidemark.streaming.replay import (
+    arrow_reaches,
+    replay_batches,
+    replay_stored,
+    run_to_end,
+    store_batches,
+)
 from tidemark.streaming.status import QueryTotals, query_status
 from tidemark.streaming.windows import closed_before, stream_window_metrics
 
@@ -238,33 +245,97 @@ def test_notifications_are_routed_and_replayed_safely(spark, tmp_path):
     assert rejects == [("bad_json",), ("missing_fields",), ("missing_fields",), ("other_request",)]
 
 
-def test_replay_runs_one_batch_at_a_time(spark, tmp_path):
-    rows = spark.range(45).select("id", (F.floor(F.col("id") / 10) + 1).cast("int").alias("batch_number"))
+NUMBERED = """id, timestamp_seconds(id) AS at, CAST(timestamp_seconds(id) AS timestamp_ntz) AS plain,
+  CAST(id AS decimal(20, 3)) AS amount, IF(id % 7 = 0, NULL, string(id)) AS name, array(id) AS list,
+  CAST(id DIV 3 + 1 AS int) AS batch_number"""
+
+
+def replayed(stream, checkpoint, seen, stop_after=None):
+    def write(batch, _):
+        seen.append(batch.collect())
+        if len(seen) == stop_after:
+            raise RuntimeError("stopped here")
+
+    return run_to_end(sinks.to_batches(stream, write, checkpoint, every="0 seconds"))
+
+
+@pytest.mark.parametrize("by_tasks", [True, False])
+def test_replay_keeps_order_and_rows_over_restarts(spark, tmp_path, by_tasks):
+    """90 rows in 30 batches, written by many tasks and taken four batches at a time."""
+    rows = spark.range(90).selectExpr(*[x.strip() for x in _columns(NUMBERED)]).repartition(8)
+    seen, checkpoint = [], str(tmp_path / "ck")
+    stream = replay_batches(rows, batches_per_trigger=4, by_tasks=by_tasks)
+    with pytest.raises(Exception, match="stopped here"):
+        replayed(stream, checkpoint, seen, stop_after=3)
+    assert [sorted({r.batch_number for r in part}) for part in seen] == [
+        [1, 2, 3, 4], [5, 6, 7, 8], [9, 10, 11, 12],
+    ]
+    seen.pop()  # it failed, so it comes again
+    replayed(stream, checkpoint, seen)
+    expected = [list(range(k, min(k + 4, 31))) for k in range(1, 31, 4)]
+    assert [sorted({r.batch_number for r in part}) for part in seen] == expected
+    assert sorted(r for part in seen for r in part) == sorted(rows.collect())
+    replayed(stream, checkpoint, seen)
+    assert len(seen) == len(expected), "nothing is left after the end"
+
+
+def _columns(text):
+    """Splits a select list at the commas outside brackets."""
+    depth, part = 0, ""
+    for c in text:
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            yield part
+            part = ""
+        else:
+            part += c
+    yield part
+
+
+def test_a_replay_goes_on_with_batches_that_came_later(spark, tmp_path):
+    """The offset is the batch number, also with another number of batches per trigger."""
+    rows = spark.range(40).selectExpr("id", "CAST(id DIV 4 + 1 AS bigint) AS batch_number")
+    path, checkpoint, seen = f"file://{tmp_path}/stored", str(tmp_path / "ck"), []
+    store_batches(rows, path, per_folder=3)
+    stored = spark.read.schema("id bigint, batch_number bigint, replay_folder int").parquet(path)
+    first = stored.where("batch_number <= 5")
+    replayed(replay_stored(first, path, Transactions(), 2, 3), checkpoint, seen)
+    replayed(replay_stored(stored, path, Transactions(), 4, 3), checkpoint, seen)
+    assert [sorted({r.batch_number for r in part}) for part in seen] == [
+        [1, 2], [3, 4], [5], [6, 7, 8, 9], [10],
+    ]
+    assert sorted(r.id for part in seen for r in part) == list(range(40))
+
+
+def test_a_trigger_reads_the_files_of_its_batches_only(spark, tmp_path):
+    from tidemark.sources.stored_batches import _FileReader
+
+    rows = spark.range(100).selectExpr("id", "CAST(id + 1 AS int) AS batch_number")
+    path = str(tmp_path / "stored")
+    store_batches(rows, path, per_folder=10)
+    options = dict(first=1, last=100, per_trigger=5, path=path, column="batch_number", per_folder=10)
+    reader = _FileReader({k: str(v) for k, v in options.items()}, rows.schema)
+    assert (reader.initialOffset(), reader.latestOffset()) == ({"batch": 0}, {"batch": 5})
+    files = reader.partitions({"batch": 18}, {"batch": 23})
+    assert {f.name.split("replay_folder=")[1].split("/")[0] for f in files} == {"1", "2"}
+    got = [v for f in files for b in reader.read(f) for v in b.column("batch_number").to_pylist()]
+    assert sorted(got) == [19, 20, 21, 22, 23]
+    assert reader.latestOffset() == {"batch": 28}
+
+
+def test_small_batches_share_files_and_empty_tables_end_at_once(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 8).selectExpr("id", "CAST(id + 1 AS int) AS batch_number")
+    store_batches(rows, str(tmp_path / "stored"), per_folder=250)
+    assert len(list((tmp_path / "stored").rglob("*.parquet"))) <= 16
     seen = []
-    query = sinks.to_batches(
-        replay_batches(rows), lambda batch, _: seen.append(tuples(batch)), str(tmp_path / "ck")
-    )
-    run(query)
-    assert len(seen) == 5
-    assert all(len({batch for _, batch in part}) == 1 for part in seen)
-    assert sorted((row for part in seen for row in part), key=repr) == tuples(rows)
+    none = rows.where("id < 0").unionByName(rows.selectExpr("id", "NULL AS batch_number").limit(2))
+    replayed(replay_batches(none), str(tmp_path / "ck"), seen)
+    assert sum(len(part) for part in seen) == 0
 
 
-def test_replay_keeps_the_order_of_batches(spark, tmp_path):
-    number = (F.floor(F.col("id") / 3) + 1).cast("int")
-    rows = spark.range(90).select("id", number.alias("batch_number")).repartition(8)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        stream = replay_batches(rows, batches_per_trigger=4)
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    seen = []
-    run(sinks.to_batches(
-        stream,
-        lambda batch, _: seen.append(sorted({r.batch_number for r in batch.collect()})),
-        str(tmp_path / "ck"),
-    ))
-    assert seen == [list(range(k, min(k + 4, 31))) for k in range(1, 31, 4)]
+def test_stores_that_arrow_knows(tmp_path):
+    assert arrow_reaches(str(tmp_path)) and arrow_reaches(f"file:{tmp_path}")
+    assert arrow_reaches(f"file://{tmp_path}") and not arrow_reaches("viewfs://store/in")
 
 
 def test_totals_outlive_the_kept_progress(spark, tmp_path):
@@ -273,10 +344,9 @@ def test_totals_outlive_the_kept_progress(spark, tmp_path):
     spark.streams.addListener(totals)
     try:
         rows = spark.range(12).select("id", F.col("id").cast("int").alias("batch_number"))
-        query = sinks.to_batches(
-            replay_batches(rows), lambda batch, _: batch.count(), str(tmp_path / "ck")
-        )
-        run(query)
+        query = run_to_end(sinks.to_batches(
+            replay_batches(rows), lambda batch, _: batch.count(), str(tmp_path / "ck"), "0 seconds"
+        ))
         for _ in range(100):
             if totals.of(query)["input_rows"] >= 12:
                 break
