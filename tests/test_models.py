@@ -165,6 +165,16 @@ def test_report(spark, samples, searched, tmp_path):
     assert len(lines) == len(rows)
 
 
+def test_no_row_is_predicted_by_a_tree_that_saw_it(samples):
+    got = {r["id"]: r["prediction"] for r in trees.out_of_fold(samples, "id", 3).collect()}
+    assert len(got) == samples.count()
+    fold = F.pmod(F.xxhash64("id"), F.lit(3))
+    for k in range(3):
+        model = trees.train_tree(samples.where(fold != k))
+        for r in model.transform(samples.where(fold == k)).collect():
+            assert got[r["id"]] == r["prediction"]
+
+
 def test_text_labels_and_unseen_categories(spark):
     rows = [(["red", "blue"][i % 2], Vectors.dense(float(i % 2), float(i % 4))) for i in range(40)]
     df = spark.createDataFrame(rows, ["color", "features"])

@@ -109,6 +109,20 @@ def train_tree_cv(
         train.unpersist()
 
 
+def out_of_fold(train: DataFrame, fold_by: str, folds: int = 2) -> DataFrame:
+    """Predictions of every row by a tree that was trained on the other folds.
+
+    A row's fold follows from the hash of ``fold_by``, as in the search.
+    """
+    fold = F.pmod(F.xxhash64(fold_by), F.lit(folds)).cast("int")
+    predicted = None
+    for k in range(folds):
+        model = train_tree(train.where(fold != k))
+        part = model.transform(train.where(fold == k))
+        predicted = part if predicted is None else predicted.unionByName(part)
+    return predicted
+
+
 def cv_table(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
     """One row per combination and parameter: ``(combination, param, value, metric)``.
 
