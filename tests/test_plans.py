@@ -21,7 +21,7 @@ FOLDER = entry_module.SMOKE_FOLDER
 QUERIES = all_queries()[0]
 WITH_PYTHON = {"score_top1", "asset_dims"}
 # These run whole streams or searches while they are being built.
-EAGER = {"cv_metric_stats", "param_impact", "tree_predictions", "replay_batches"}
+EAGER = {"cv_metric_stats", "cv_full_grid", "param_impact", "tree_predictions", "replay_batches"}
 LAZY = sorted(n for n in QUERIES if n not in EAGER and not n.startswith("stream"))
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
+from tidemark.functions.images import image_size
+from tidemark.functions.objects import base64_text
 from tidemark.operators import scoring
 from tidemark.operators.line_stats import file_stats, listed_stats
 from tidemark.plans.text_objects import _BY_SOURCE, _NAME, _lines, object_name
@@ -173,6 +175,73 @@ def asset_dims(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _hex_number(value: Column, size: int, little: bool = False) -> Column:
+    """A whole number as ``size`` bytes in hexadecimal digits."""
+    digits = F.lpad(F.hex(value.cast("bigint")), 2 * size, "0")
+    if not little:
+        return digits
+    return F.concat(*(F.substring(digits, 2 * k + 1, 2) for k in reversed(range(size))))
+
+
+def _pictures(spark: SparkSession, folder: str) -> DataFrame:
+    """A picture for each vector, up to its first pixels, in five kinds by its id.
+
+    PNG, GIF and BMP headers; JPEG with as many comments before the frame as the
+    last digit of the id says; and JPEG that is cut off within the frame header.
+    """
+    rows = table(spark, folder, "embeddings").select("vec_id", "label")
+    width, height = F.col("vec_id") % 3000 + 1, F.col("label") + 1
+    w4, h4 = _hex_number(width, 4), _hex_number(height, 4)
+    comments = F.repeat(F.lit("FFFE0005414243"), (F.col("vec_id") % 10).cast("int"))
+    frame = F.concat(F.lit("FFC2001108"), _hex_number(height, 2), _hex_number(width, 2))
+    jpeg = F.concat(F.lit("FFD8FFE000104A46494600010100000100010000"), comments, frame)
+    kinds = (
+        F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), w4, h4, F.lit("0806000000")),
+        F.concat(
+            F.lit("474946383961"), _hex_number(width, 2, True), _hex_number(height, 2, True),
+            F.lit("800000"),
+        ),
+        F.concat(
+            F.lit("424D00000000000000003600000028000000"), _hex_number(width, 4, True),
+            _hex_number(height, 4, True), F.lit("01001800"),
+        ),
+        F.concat(jpeg, F.lit("03011100")),
+        F.substring(jpeg, F.lit(1), F.length(jpeg) - 4),
+    )
+    content = kinds[-1]
+    for k, kind in enumerate(kinds[:-1]):
+        content = F.when(F.col("vec_id") % len(kinds) == k, kind).otherwise(content)
+    return rows.select("vec_id", F.unhex(content).alias("content"))
+
+
+def image_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of each vector's picture, read from its bytes; 0 x 0 for the damaged ones."""
+    return _pictures(spark, folder).select("vec_id", image_size(F.col("content")).alias("size")).select(
+        "vec_id", "size.*"
+    )
+
+
+def stream_image_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pictures as base64 messages: pixels, and damaged pictures, by kind of picture."""
+    message = F.struct(
+        F.col("vec_id").cast("string").alias("image_id"),
+        F.concat(F.lit("pictures/"), F.col("vec_id") % 5, F.lit("/"), "vec_id").alias("path"),
+        (F.col("vec_id") % 5).cast("string").alias("label"),
+        base64_text(F.col("content")).alias("image_data"),
+    )
+    source, target = new_path(spark, "pictures"), new_path(spark, "sizes")
+    _pictures(spark, folder).select(F.to_json(message).alias("value")).write.json(source)
+    images = image_messages(message_stream(spark, "file", path=source))
+    sizes = images.select("label", image_size(F.col("content")).alias("size")).select("label", "size.*")
+    to_files(sizes, target, new_path(spark, "sizes-checkpoint"), "parquet").awaitTermination()
+    pixels = F.col("width").cast("bigint") * F.col("height")
+    return spark.read.schema(sizes.schema).parquet(target).groupBy("label").agg(
+        F.sum(pixels).alias("pixels"),
+        F.max("width").alias("largest_width"),
+        F.count_if(pixels == 0).alias("damaged"),
+    )
+
+
 # Event types given to documents in turn by language; the last is for all others.
 _EVENT_TYPES = {"en": "OBJECT_FINALIZE", "fr": "object.create", "de": "OBJECT_DELETE"}
 _OTHER_EVENT = "metadata.update"
@@ -293,6 +362,8 @@ QUERIES = {
         asset_catalog,
         stream_assets,
         asset_dims,
+        image_sizes,
+        stream_image_sizes,
         notification_filter,
         notification_messages,
         notification_route,
@@ -330,6 +401,11 @@ _BYTES = """
 SELECT 'source=' || source AS label, CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes
 FROM documents GROUP BY source"""
 
+_PICTURES = """
+SELECT vec_id, CASE WHEN vec_id % 5 = 4 THEN 0 ELSE vec_id % 3000 + 1 END AS width,
+  CASE WHEN vec_id % 5 = 4 THEN 0 ELSE label + 1 END AS height
+FROM embeddings"""
+
 _PREDICTIONS = f"""WITH {_SCORES}
 SELECT image_path, label, predicted_class, predicted_description, confidence FROM results"""
 
@@ -358,6 +434,13 @@ SELECT 'source=' || source AS label,
     AS largest_width,
   CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS total_height
 FROM documents GROUP BY source""",
+    "image_sizes": f"""
+SELECT vec_id, CAST(width AS INTEGER) AS width, CAST(height AS INTEGER) AS height
+FROM ({_PICTURES})""",
+    "stream_image_sizes": f"""
+SELECT CAST(vec_id % 5 AS VARCHAR) AS label, CAST(sum(width * height) AS BIGINT) AS pixels,
+  CAST(max(width) AS INTEGER) AS largest_width, count(*) FILTER (width * height = 0) AS damaged
+FROM ({_PICTURES}) GROUP BY 1""",
     "notification_filter": f"""WITH {_EVENTS}
 SELECT doc_id, name, "eventType" FROM wanted""",
     "notification_messages": f"""WITH {_EVENTS}

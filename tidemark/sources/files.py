@@ -128,3 +128,24 @@ def binary_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
         .option("pathGlobFilter", pattern)
         .load(path)
     )
+
+
+def image_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Path and size of the images below ``path`` as Spark's own reader decodes them.
+
+    Every image is decoded in the JVM, so the size is that of an image that can
+    really be shown; what cannot be decoded has 0 x 0. ``functions.images`` reads
+    sizes from headers alone, at a fraction of the price.
+    """
+    images = (
+        spark.read.format("image")
+        .option("dropInvalid", False)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .load(path)
+    )
+    return images.select(
+        F.col("image.origin").alias("path"),
+        F.greatest("image.width", F.lit(0)).alias("width"),
+        F.greatest("image.height", F.lit(0)).alias("height"),
+    )
