@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 from html import unescape
 
 from xxhash import xxh64_intdigest
@@ -96,6 +97,35 @@ def named_noise(names: list[str]) -> tuple[bool, bool]:
     return bool(found), bool(found) and found <= HEADER_WORDS
 
 
+@lru_cache(maxsize=1 << 14)
+def _looks(tag: str, rest: str) -> tuple[bytes, int, bool, bool]:
+    """Shape of an element for its key, its role, whether a name gives it, whether it is a header."""
+    values: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(rest):
+        values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    names = values.get("class", "").split()
+    names += [values["id"]] if values.get("id") else []
+    shape = _DIGITS.sub("0", " ".join([tag, *names])).encode()
+    noise = only_header = False
+    if names and tag not in ("html", "body"):
+        noise, only_header = named_noise(names)
+    hidden = (
+        "hidden" in values
+        or values.get("aria-hidden", "").lower() == "true"
+        or bool(_HIDDEN.search(values.get("style", "")))
+    )
+    role = values.get("role", "").lower()
+    main = tag in MAIN_TAGS or role == "main" or values.get("itemprop") == "articleBody"
+    main = main or any(name.lower() in MAIN_NAMES for name in names)
+    if hidden or tag in NOISE_TAGS or (role in NOISE_ROLES and not main):
+        return shape, NOISE, False, False
+    if tag == "header" or only_header:
+        return shape, NOISE, tag != "header", True
+    if noise:
+        return shape, NOISE, True, False
+    return shape, MAIN if main else NEUTRAL, False, False
+
+
 class Node:
     __slots__ = ("tag", "parent", "key", "role", "by_name", "header", "children", "state", "text")
 
@@ -170,22 +200,10 @@ class Page:
 
     def _open(self, tag: str, rest: str) -> None:
         block = tag in BLOCK
-        values = {}
-        for m in _ATTRIBUTE.finditer(rest) if rest else ():
-            values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-        names = values.get("class", "").split()
-        names += [values["id"]] if values.get("id") else []
-        noise = only_header = False
-        if names and tag not in ("html", "body"):
-            noise, only_header = named_noise(names)
-        hidden = (
-            "hidden" in values
-            or values.get("aria-hidden", "").lower() == "true"
-            or bool(_HIDDEN.search(values.get("style", "")))
-        )
-        role = values.get("role", "").lower()
-        noise_tag = tag in NOISE_TAGS or role in NOISE_ROLES or hidden
-        if not block and not (noise or noise_tag):
+        if not (block or rest or tag in NOISE_TAGS):
+            return
+        shape, role, by_name, header = _looks(tag, rest)
+        if not block and role != NOISE:
             return
         if block:
             if tag in ("html", "body") and any(self.nodes[k].tag == tag for k in self._stack):
@@ -197,18 +215,8 @@ class Page:
         else:
             self._flush()
         parent = self._stack[-1]
-        shape = _DIGITS.sub("0", " ".join([tag, *names]))
-        node = Node(tag, parent, xxh64_intdigest(shape.encode(), self.nodes[parent].key))
-        main = tag in MAIN_TAGS or role == "main" or values.get("itemprop") == "articleBody"
-        main = main or any(name.lower() in MAIN_NAMES for name in names)
-        if noise_tag and not (main and tag not in NOISE_TAGS and not hidden):
-            node.role = NOISE
-        elif tag == "header" or only_header:
-            node.role, node.header, node.by_name = NOISE, True, tag != "header"
-        elif noise:
-            node.role, node.by_name = NOISE, True
-        elif main:
-            node.role = MAIN
+        node = Node(tag, parent, xxh64_intdigest(shape, self.nodes[parent].key))
+        node.role, node.by_name, node.header = role, by_name, header
         self.nodes[parent].children.append(node.key)
         self.nodes.append(node)
         self._stack.append(len(self.nodes) - 1)

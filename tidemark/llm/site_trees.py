@@ -23,6 +23,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -38,9 +39,11 @@ LEAST_IMPORTANCE = 0.3
 DECAY = 0.9
 MOST_SHIPPED = 2_000_000  # nodes, 32 bytes each in a task
 _FORMS, _WORDS, _PAGES = 0, 1, 2
-_MOST_HELD = 200_000  # statistics in a task before they are handed on
+_MIX = np.uint64(0x9E3779B97F4A7C15)  # any odd number
+_MOST_HELD = 1_000_000  # statistics in a task before they are handed on
 
 
+@lru_cache(maxsize=1 << 14)
 def site_of(url: str | None) -> str:
     """Host of a URL in lower case; '' if there is none."""
     try:
@@ -53,29 +56,68 @@ def _signed(key: int) -> int:
     return key - (1 << 64) if key >> 63 else key
 
 
-def page_statistics(page: Page) -> Iterator[tuple[int, int, int, int, float]]:
-    """(node, kind, feature, n, n ln n) of one page; entropies follow from the sums over pages."""
-    words: dict[int, Counter] = {}
-    for block in page.blocks:
-        words.setdefault(page.nodes[block.node].key, Counter()).update(block.text.split())
-    forms: dict[int, Counter] = {}
-    for node in page.nodes:
-        if node.children:
-            form = zlib.crc32(np.array(node.children, np.uint64).tobytes())
-            forms.setdefault(node.key, Counter())[form] += 1
-    for key, found in forms.items():
-        yield key, _PAGES, 0, 1, 0.0
-        for form, n in found.items():
-            yield key, _FORMS, form, n, 0.0
-    for key, found in words.items():
-        hashed = np.fromiter((zlib.crc32(w.encode()) for w in found), np.int64, len(found))
-        n = np.fromiter(found.values(), np.int64, len(found))
-        spread = n * np.log(n)
-        for feature, count, x in zip(hashed.tolist(), n.tolist(), spread.tolist()):
-            yield key, _WORDS, feature, count, x
-
-
-_STATISTICS = "node bigint, kind int, feature bigint, n bigint, n_ln_n double"
+_STATISTICS = ["node", "feature", "n", "n_ln_n"]
+
+
+class Statistics:
+    """Counts of forms and words by node, held as columns until there are many."""
+
+    def __init__(self) -> None:
+        self.nodes: list[int] = []
+        self.kinds: list[int] = []
+        self.features: list[int] = []
+        self.counts: list[int] = []
+
+    def __len__(self) -> int:
+        return len(self.nodes)
+
+    def add(self, page: Page) -> None:
+        """One entry for each node of a page, each form of a node and each of its words."""
+        words: dict[int, list[str]] = {}
+        for block in page.blocks:
+            words.setdefault(page.nodes[block.node].key, []).extend(block.text.split())
+        forms: dict[int, Counter] = {}
+        for node in page.nodes:
+            if node.children:
+                form = zlib.crc32(repr(node.children).encode())
+                forms.setdefault(node.key, Counter())[form] += 1
+        for key, found in forms.items():
+            self._put(key, _PAGES, (0,), (1,))
+            self._put(key, _FORMS, found.keys(), found.values())
+        for key, found in words.items():
+            counts = Counter(found)
+            self._put(key, _WORDS, map(zlib.crc32, map(str.encode, counts)), counts.values())
+
+    def _put(self, key: int, kind: int, features, counts) -> None:
+        before = len(self.counts)
+        self.features.extend(features)
+        self.counts.extend(counts)
+        new = len(self.counts) - before
+        self.nodes.extend([key] * new)
+        self.kinds.extend([kind] * new)
+
+    def summed(self) -> pa.RecordBatch:
+        """Node, kind with feature, n and n ln n: entropies follow from their sums over pages."""
+        node = np.array(self.nodes, np.uint64)
+        kind, feature = np.array(self.kinds, np.int64), np.array(self.features, np.int64)
+        n = np.array(self.counts, np.int64)
+        # Entries are grouped by a 64-bit mix of the three, as one key sorts fastest.
+        mixed = (node ^ (feature + (kind << 33)).view(np.uint64)) * _MIX
+        order = np.argsort(mixed, kind="stable")
+        node, kind, feature, n = (x[order] for x in (node, kind, feature, n))
+        new = np.ones(len(n), bool)
+        new[1:] = (np.diff(node) != 0) | (np.diff(kind) != 0) | (np.diff(feature) != 0)
+        first = np.flatnonzero(new)
+        spread = np.where(kind == _WORDS, n * np.log(n), 0.0)
+        self.__init__()
+        columns = [node[first].view(np.int64), (feature + (kind << 33))[first], n, spread]
+        for k in (2, 3):
+            columns[k] = np.add.reduceat(columns[k], first) if len(first) else columns[k]
+        # Rows of a node side by side take less room in the shuffle.
+        order = np.argsort(columns[0], kind="stable")
+        return pa.RecordBatch.from_arrays([pa.array(c[order]) for c in columns], _STATISTICS)
+
+
 
 
 def site_tree(pages: DataFrame, decay: float = DECAY) -> DataFrame:
@@ -88,44 +130,21 @@ def site_tree(pages: DataFrame, decay: float = DECAY) -> DataFrame:
     ship_package(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int, int], list] = {}
-
-        def handed_on() -> pa.RecordBatch:
-            keys = list(zip(*held)) or [[], [], []]
-            sums = list(zip(*held.values())) or [[], []]
-            columns = [
-                pa.array(np.array(keys[0], np.uint64).view(np.int64)),
-                pa.array(keys[1], pa.int32()),
-                pa.array(keys[2], pa.int64()),
-                pa.array(sums[0], pa.int64()),
-                pa.array(sums[1], pa.float64()),
-            ]
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                columns, ["node", "kind", "feature", "n", "n_ln_n"]
-            )
-
+        held = Statistics()
         for batch in batches:
             for url, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-                page = Page(html.as_py() or "", site_of(url))
-                for key, kind, feature, n, x in page_statistics(page):
-                    sums = held.get((key, kind, feature))
-                    if sums:
-                        sums[0] += n
-                        sums[1] += x
-                    else:
-                        held[key, kind, feature] = [n, x]
+                held.add(Page(html.as_py() or "", site_of(url)))
                 if len(held) > _MOST_HELD:
-                    yield handed_on()
-        yield handed_on()
+                    yield held.summed()
+        yield held.summed()
 
     raw = pages.select(F.col("url").cast("string"), F.col("html").cast("string"))
     sums = (
-        raw.mapInArrow(run, _STATISTICS)
-        .groupBy("node", "kind", "feature")
+        raw.mapInArrow(run, "node bigint, feature bigint, n bigint, n_ln_n double")
+        .groupBy("node", "feature")
         .agg(F.sum("n").alias("n"), F.sum("n_ln_n").alias("x"))
     )
-    n, kind = F.col("n"), F.col("kind")
+    n, kind = F.col("n"), F.shiftright("feature", 33)
 
     def of(which: int, value) -> F.Column:
         return F.sum(F.when(kind == which, value))
