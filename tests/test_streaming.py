@@ -14,7 +14,7 @@ from tidemark.operators.transactions import Transactions
 from tidemark.sinks import streams as sinks
 from tidemark.sinks.files import write_messages
 from tidemark.sources import streams as sources
-from tidemark.streaming import batch_log, messages, notifications
+from tidemark.streaming import batch_log, messages, notifications, state
 from tidemark.streaming.arrivals import stream_line_counts
 from tidemark.streaming.replay import (
     arrow_reaches,
@@ -23,7 +23,7 @@ from tidemark.streaming.replay import (
     run_to_end,
     store_batches,
 )
-from tidemark.streaming.status import QueryTotals, query_status
+from tidemark.streaming.status import QueryTotals, query_status, store_totals, stored_totals
 from tidemark.streaming.windows import closed_before, stream_window_metrics
 
 START = datetime(2024, 1, 15, 10, tzinfo=timezone.utc)
@@ -358,6 +358,72 @@ def test_totals_outlive_the_kept_progress(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
 
 
+def test_state_of_a_stopped_stream(spark, tmp_path):
+    """Batches of ten seconds; windows of five, closed ten seconds behind."""
+    folder, checkpoint = tmp_path / "in", str(tmp_path / "ck")
+    stream = lambda: stream_window_metrics(
+        parsed_stream(spark, folder), "event_time", "10 seconds", "5 seconds"
+    )
+    held = []
+    for k in range(3):
+        write_file(folder, f"{k}.json", [message(i, i) for i in range(10 * k, 10 * k + 10)])
+        run(sinks.to_files(stream(), str(tmp_path / "o"), checkpoint, "parquet"))
+        rows = state.open_windows(spark, checkpoint).orderBy("window_start").collect()
+        held.append([(r["window_start"].second, r["record_count"]) for r in rows])
+    # The last rows came at 9, 19 and 29 s, so windows that end by 9 and 19 s are closed.
+    assert held == [[(0, 5), (5, 5)], [(5, 5), (10, 5), (15, 5)], [(15, 5), (20, 5), (25, 5)]]
+    closed = spark.read.parquet(str(tmp_path / "o"))
+    assert sorted(r["window_start"].second for r in closed.collect()) == [0, 5, 10]
+    operators = state.state_operators(spark, checkpoint).first()
+    sizes = tuples(state.state_sizes(spark, checkpoint))
+    assert len(sizes) == operators["maxBatchId"] - operators["minBatchId"] + 1
+    assert sizes[-1] == (operators["maxBatchId"], 3)
+    first = state.open_windows(spark, checkpoint, batch=0)
+    assert first.count() == 2
+
+
+def test_state_fields_of_one_name_are_numbered(spark, tmp_path):
+    folder, checkpoint = tmp_path / "in", str(tmp_path / "ck")
+    write_file(folder, "a.json", [message(i, i, amount=float(i)) for i in range(4)])
+    counts = parsed_stream(spark, folder).groupBy("customer_id").agg(
+        F.count("*").alias("a"), F.count("final_amount").alias("b"), F.max("final_amount").alias("c")
+    )
+    run(sinks.to_batches(counts, lambda batch, _: batch.count(), checkpoint, mode="update"))
+    rows = state.state_rows(spark, checkpoint)
+    assert rows.columns == ["customer_id", "count", "count_2", "max"]
+    assert tuples(rows) == [(f"C{i}", 1, 1, float(i)) for i in range(4)]
+
+
+def test_totals_as_a_table(spark, tmp_path):
+    """A row per run; storing again replaces; a failed run carries its error."""
+    totals, path = QueryTotals(), str(tmp_path / "totals")
+    spark.streams.addListener(totals)
+    try:
+        rows = spark.range(12).select("id", F.col("id").cast("int").alias("batch_number"))
+        stream = replay_batches(rows.where("batch_number > 0"))
+        done = run_to_end(
+            sinks.to_batches(stream, lambda b, _: b.count(), str(tmp_path / "a"), "0 seconds")
+        )
+
+        def fail(batch, _):
+            raise RuntimeError("no room")
+
+        failed = sinks.to_batches(stream, fail, str(tmp_path / "b"), "0 seconds")
+        with pytest.raises(Exception, match="no room"):
+            run_to_end(failed)
+        assert totals.wait(done) and totals.wait(failed)
+    finally:
+        spark.streams.removeListener(totals)
+    for _ in range(2):
+        store_totals(totals, spark, path)
+    stored = {r["run_id"]: r for r in stored_totals(spark, path).collect()}
+    assert len(stored) == 2
+    good, bad = stored[str(done.runId)], stored[str(failed.runId)]
+    assert (good["input_rows"], good["batches"] >= 11, good["error"]) == (11, True, None)
+    assert good["ended"] and good["first_progress"] <= good["last_progress"]
+    assert bad["input_rows"] == 0 and "no room" in bad["error"]
+
+
 def test_console_memory_and_timed_triggers(spark, tmp_path):
     write_file(tmp_path / "in", "a.json", [message(1, 0)])
     stream = parsed_stream(spark, tmp_path / "in").select("customer_id")
