@@ -40,7 +40,7 @@ def by_crossvalidator(rows, grid, folds):
 )
 def test_equal_to_crossvalidator(spark, noisy, grid):
     model, params = by_crossvalidator(noisy, grid, 3)
-    search = nested.nested_search(noisy, grid, folds=3, fold_by="id")
+    search = nested.nested_search(noisy, grid, folds=3, fold_by="id", folds_at_once=2)
     assert search.combinations == params
     assert search.metrics == pytest.approx(model.avgMetrics, abs=1e-12)
     assert tuples(trees.cv_metric_stats(search.table(spark))) == [
@@ -55,7 +55,7 @@ def test_equal_to_crossvalidator(spark, noisy, grid):
 
 def test_full_grid_takes_a_fit_for_each_of_24(spark, noisy, monkeypatch):
     fits = []
-    monkeypatch.setattr(nested, "_fold_accuracies", lambda train, test, f, c, p: fits.extend(f) or [
+    monkeypatch.setattr(nested, "_fold_accuracies", lambda train, test, f, c, *_: fits.extend(f) or [
         [float(len(c))] * len(c) for _ in f
     ])
     search = nested.nested_search(noisy, trees.FULL_GRID, folds=1, fold_by="id")
@@ -67,8 +67,8 @@ def test_nodes_of_a_saved_tree_in_sql(spark, noisy, tmp_path):
     pipeline, tree = trees.tree_pipeline()
     tree.setMaxDepth(8)
     model = pipeline.fit(noisy)
-    nested.save_nodes(model.stages[-1], str(tmp_path / "tree"))
-    nodes = spark.read.parquet(str(tmp_path / "tree/data"))
+    nested.save_nodes(model.stages[-1], str(tmp_path / "0"))
+    nodes = spark.read.parquet(str(tmp_path / "0/data"))
     nodes.createOrReplaceTempView("nodes")
     wrong = spark.sql("""
         SELECT p.id FROM nodes p JOIN nodes l ON p.leftChild = l.id JOIN nodes r ON p.rightChild = r.id
@@ -77,7 +77,8 @@ def test_nodes_of_a_saved_tree_in_sql(spark, noisy, tmp_path):
                                         / p.rawCount)) > 1e-9
           OR l.id <> p.id + 1 OR r.id <= l.id""")
     assert wrong.count() == 0
-    assert nested.node_table(spark, str(tmp_path / "tree")).count() == model.stages[-1].numNodes
+    table = nested.node_table(spark, str(tmp_path), 1)
+    assert table.where("tree = 0").count() == model.stages[-1].numNodes
     assert nodes.where("leftChild < 0").agg(F.sum("rawCount")).first()[0] == 400
 
 

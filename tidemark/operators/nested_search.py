@@ -44,9 +44,14 @@ def save_nodes(model: DecisionTreeClassificationModel, path: str) -> None:
     model.write().save(path)
 
 
-def node_table(spark: SparkSession, path: str) -> DataFrame:
-    """Nodes of a saved tree: ids in order of their first visit, children -1 for leaves."""
-    return spark.read.schema(_NODE).parquet(f"{path}/data")
+def node_table(spark: SparkSession, folder: str, trees: int) -> DataFrame:
+    """Nodes of the trees saved in the folders 0 to ``trees`` - 1, with the number of their tree.
+
+    Ids follow the order of the first visit; leaves have children -1.
+    """
+    rows = spark.read.schema(_NODE).parquet(*(f"{folder}/{k}/data" for k in range(trees)))
+    number = F.regexp_extract("_metadata.file_path", r"/(\d+)/data/[^/]+$", 1)
+    return rows.select(number.cast("int").alias("tree"), "*")
 
 
 def leaf_paths(nodes: Mapping[int, Node]) -> list[list[Node]]:
@@ -87,7 +92,7 @@ def cut_accuracies(
 
 
 def _fold_accuracies(
-    train: DataFrame, test: DataFrame, fits: list[dict], cuts: list, parallelism: int
+    train: DataFrame, test: DataFrame, fits: list[dict], cuts: list, parallelism: int, folder: str
 ) -> list[list[float]]:
     """Accuracies of every cut for each fit on one fold."""
     spark = train.sparkSession
@@ -96,7 +101,6 @@ def _fold_accuracies(
     # Trees read their rows many times over.
     train = indexer.transform(train).persist()
     depth, gain = max(d for d, _ in cuts), min(g for _, g in cuts)
-    folder = new_path(spark, "trees")
 
     def fit(number: int) -> DecisionTreeClassificationModel:
         own = {tree.getParam(name): value for name, value in fits[number].items()}
@@ -125,11 +129,10 @@ def _fold_accuracies(
         raise ValueError("a fold has no rows; use fewer folds or another column to fold by")
     # As many rows as the fitted trees have nodes, which the driver held before.
     nodes: list[dict[int, Node]] = [{} for _ in fits]
-    for number in range(len(fits)):
-        for r in node_table(spark, f"{folder}/{number}").collect():
-            nodes[number][r["id"]] = Node(
-                r["prediction"], r["gain"], r["leftChild"], r["rightChild"]
-            )
+    for r in node_table(spark, folder, len(fits)).collect():
+        nodes[r["tree"]][r["id"]] = Node(
+            r["prediction"], r["gain"], r["leftChild"], r["rightChild"]
+        )
     return [cut_accuracies(leaf_paths(n), c, cuts) for n, c in zip(nodes, counts)]
 
 
@@ -167,12 +170,14 @@ def nested_search(
     folds: int = 5,
     parallelism: int = 4,
     fold_by: str = "id",
+    folds_at_once: int = 1,
 ) -> Search:
     """Mean accuracy over the folds of every combination of the grid.
 
     Equal to ``tree_selection.train_tree_cv`` with the same column to fold by,
     at one fit per fold for all depths and least gains together. NULLs in that
-    column fall into one fold.
+    column fall into one fold. Each of ``folds_at_once`` keeps its training rows
+    in memory or on disk, and grows up to ``parallelism`` trees at a time.
     """
     pipeline, tree = tree_pipeline()
     depths = list(grid.get(DEPTH, [tree.getOrDefault(DEPTH)]))
@@ -182,22 +187,26 @@ def nested_search(
     fits = [dict(zip(others, values)) for values in product(*others.values())]
     fold = F.pmod(F.xxhash64(fold_by), F.lit(folds)).cast("int")
     rows = train.select("label", "features", fold.alias(_FOLD)).persist()
-    sums = [[0.0] * len(cuts) for _ in fits]
+    spark = train.sparkSession
+    folder = new_path(spark, "trees")  # here, as threads do not know the staging block
+
+    def accuracies(k: int) -> list[list[float]]:
+        part = F.col(_FOLD) == k
+        return _fold_accuracies(
+            rows.where(~part), rows.where(part), fits, cuts, parallelism, f"{folder}/{k}"
+        )
+
+    pool = ThreadPool(folds_at_once)
     try:
-        for k in range(folds):
-            part = F.col(_FOLD) == k
-            found = _fold_accuracies(
-                rows.where(~part), rows.where(part), fits, cuts, parallelism
-            )
-            for total, accuracies in zip(sums, found):
-                for at, accuracy in enumerate(accuracies):
-                    total[at] += accuracy
+        found = pool.map(inheritable_thread_target(spark)(accuracies), range(folds), chunksize=1)
     finally:
+        pool.close()
         rows.unpersist()
     combinations = [dict(zip(grid, values)) for values in product(*grid.values())]
     metrics = []
     for params in combinations:
         own = {name: value for name, value in params.items() if name in others}
         cut = params.get(DEPTH, depths[0]), params.get(GAIN, least[0])
-        metrics.append(sums[fits.index(own)][cuts.index(cut)] / folds)
+        fit, place = fits.index(own), cuts.index(cut)
+        metrics.append(sum(of_fold[fit][place] for of_fold in found) / folds)
     return Search(combinations, metrics)

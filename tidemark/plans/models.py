@@ -97,7 +97,8 @@ def tree_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 def _search(spark: SparkSession, folder: str, grid=trees.QUICK_GRID) -> DataFrame:
     rows = _vectors(spark, folder)
-    return nested_search(rows, grid, FOLDS, PARALLEL_FITS, "vec_id").table(spark)
+    search = nested_search(rows, grid, FOLDS, PARALLEL_FITS, "vec_id", folds_at_once=FOLDS)
+    return search.table(spark)
 
 
 def cv_full_grid(spark: SparkSession, folder: str) -> DataFrame:
