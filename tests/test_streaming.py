@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import tuples
 from tidemark import schemas
+from tidemark.functions.sketches import DEVIATION, estimated, sketch_of
 from tidemark.operators import transactions as op
 from tidemark.operators.transactions import Transactions
 from tidemark.sinks import streams as sinks
@@ -24,7 +25,11 @@ from tidemark.streaming.replay import (
     store_batches,
 )
 from tidemark.streaming.status import QueryTotals, query_status, store_totals, stored_totals
-from tidemark.streaming.windows import closed_before, stream_window_metrics
+from tidemark.streaming.windows import (
+    closed_before,
+    stream_window_metrics,
+    stream_window_states,
+)
 
 START = datetime(2024, 1, 15, 10, tzinfo=timezone.utc)
 
@@ -358,6 +363,36 @@ def test_totals_outlive_the_kept_progress(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
 
 
+def test_merged_sketches_equal_one_sketch_of_all(spark, tmp_path):
+    """60,000 customers, far beyond what a sketch keeps apart, over windows and micro-batches."""
+    at = F.timestamp_seconds(F.lit(1_705_312_800) + F.col("id") % 600)
+    rows = spark.range(0, 90_000, 1, 6).select(
+        at.alias("event_time"),
+        (F.col("id") % 60_000).alias("customer_id"),
+        F.lit(1.0).alias("final_amount"),
+        F.lit(1).alias("batch_number"),
+    )
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2)
+    states = stream_window_states(
+        stream.parquet(str(tmp_path / "in")), "event_time", "1 second", "1 minute"
+    )
+    stored, checkpoint = str(tmp_path / "windows"), str(tmp_path / "ck")
+    run(sinks.to_batches(states, lambda b, k: sinks.replace_batch(b, stored, k), checkpoint, mode="complete"))
+    last = spark.read.parquet(stored)
+    last = last.where(F.col("batch_id") == last.agg(F.max("batch_id")).scalar())
+    merged = op.merged_metrics(last).first()
+    direct = [
+        part.agg(estimated(sketch_of("customer_id"))).first()[0]
+        for part in (rows, rows.coalesce(1), rows.orderBy(F.desc("customer_id")))
+    ]
+    assert {merged["unique_customers"]} == set(direct)
+    assert merged["record_count"] == 90_000
+    assert 0 < abs(direct[0] - 60_000) < 3 * DEVIATION * 60_000
+    few = rows.where("customer_id < 4000")
+    assert few.agg(estimated(sketch_of("customer_id"))).first()[0] == 4000
+
+
 def test_state_of_a_stopped_stream(spark, tmp_path):
     """Batches of ten seconds; windows of five, closed ten seconds behind."""
     folder, checkpoint = tmp_path / "in", str(tmp_path / "ck")

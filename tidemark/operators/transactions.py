@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.sketches import estimated, merged, sketch_of
 from tidemark.operators.dense_ids import dense_ids
 
 MONEY = "decimal(30,8)"
@@ -38,7 +39,7 @@ def money_mean(amount: str) -> Column:
 
 
 def _customers(column: str, distinct: str) -> Column:
-    return F.approx_count_distinct(column) if distinct == APPROX else F.countDistinct(column)
+    return estimated(sketch_of(column)) if distinct == APPROX else F.countDistinct(column)
 
 
 def _metrics(names: Transactions, distinct: str) -> list[Column]:
@@ -94,28 +95,67 @@ def batch_metrics(
     )
 
 
-def batch_states(rows: DataFrame, names: Transactions = Transactions()) -> DataFrame:
-    """Per batch what can be merged later: counts, exact sums, a customer sketch."""
+def _states(names: Transactions) -> list[Column]:
+    """What can be merged later: counts, exact sums, a customer sketch."""
     amount = F.col(names.amount).cast(MONEY)
-    return rows.groupBy(names.batch).agg(
+    return [
         F.count("*").alias("record_count"),
         F.count(amount).alias("amount_count"),
         F.sum(amount).alias("amount_sum"),
-        F.hll_sketch_agg(names.customer).alias("customers"),
+        sketch_of(names.customer).alias("customers"),
+    ]
+
+
+def batch_states(rows: DataFrame, names: Transactions = Transactions()) -> DataFrame:
+    """The mergeable states per numbered batch."""
+    return rows.groupBy(names.batch).agg(*_states(names))
+
+
+def window_states(
+    rows: DataFrame,
+    time: str,
+    width: str,
+    slide: str | None = None,
+    names: Transactions = Transactions(),
+) -> DataFrame:
+    """The mergeable states per window, of a table or a stream."""
+    window = F.window(time, width, slide) if slide else F.window(time, width)
+    return (
+        rows.groupBy(window)
+        .agg(*_states(names))
+        .select(
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            "record_count",
+            "amount_count",
+            "amount_sum",
+            "customers",
+        )
     )
 
 
-def grand_total(states: DataFrame) -> DataFrame:
-    """Totals over all batches; the mean is sum over count, not a mean of means.
+def merged_metrics(states: DataFrame, *by: Column | str) -> DataFrame:
+    """Metrics of stored states, merged by what is asked for; one row without ``by``.
 
-    A customer seen in many batches counts once, up to the sketch's accuracy.
+    A customer seen in many windows or batches counts once. Windows that overlap
+    would count their common rows twice, so merge tumbling ones.
     """
     total = F.sum("amount_sum").cast("double")
-    return states.agg(
-        F.sum("record_count").alias("total_records_processed"),
-        total.alias("grand_total_value"),
-        (total / F.nullif(F.sum("amount_count"), F.lit(0))).alias("overall_avg_value"),
-        F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("approx_unique_customers"),
+    return states.groupBy(*by).agg(
+        F.sum("record_count").alias("record_count"),
+        total.alias("total_transaction_value"),
+        (total / F.nullif(F.sum("amount_count"), F.lit(0))).alias("avg_transaction_value"),
+        estimated(merged("customers")).alias("unique_customers"),
+    )
+
+
+def grand_total(states: DataFrame) -> DataFrame:
+    """Totals over all batches; the mean is sum over count, not a mean of means."""
+    return merged_metrics(states).select(
+        F.col("record_count").alias("total_records_processed"),
+        F.col("total_transaction_value").alias("grand_total_value"),
+        F.col("avg_transaction_value").alias("overall_avg_value"),
+        F.col("unique_customers").alias("approx_unique_customers"),
     )
 
 
