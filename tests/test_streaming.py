@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import json
+import random
+import shutil
 import time
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import tuples
@@ -183,6 +187,79 @@ def test_batch_log_counts_input_rows_once(spark, tmp_path):
     assert batch_log.log_totals(batch_log.batch_log(spark, log_path)).first()["total_records"] == 91
 
 
+LOG = "batch_id long, record_count long, total_value decimal(38,8), first_time timestamp, last_time timestamp"
+
+
+@pytest.mark.parametrize("size", [2, 7, 1000])
+def test_running_totals_equal_a_plain_window(spark, size):
+    """With gaps, batches without rows or values, and odd decimals."""
+    rng = random.Random(size)
+    rows = []
+    for batch_id in rng.sample(range(400), 250) + [5000]:
+        n = rng.choice([0, 1, 30])
+        time = START + timedelta(seconds=rng.randrange(10_000)) if n else None
+        value = Decimal(rng.randrange(10**14)) / Decimal(10**8) if n > 1 else None
+        rows.append((batch_id, n, value, time, time))
+    log = spark.createDataFrame(rows, LOG)
+    so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    expected = log.select(
+        "batch_id",
+        "record_count",
+        F.sum("record_count").over(so_far),
+        F.sum("total_value").over(so_far).cast("double"),
+        F.min("first_time").over(so_far),
+        F.max("last_time").over(so_far),
+    )
+    got = batch_log.running_totals(log, size)
+    assert tuples(got) == tuples(expected)
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    assert batch_log.running_totals(log.limit(0), size).count() == 0
+
+
+def test_a_compacted_log_counts_every_batch_once(spark, tmp_path):
+    path, closed = str(tmp_path / "log"), str(tmp_path / "closed")
+    write = batch_log.log_writer(path, "event_time", "final_amount", segment=3)
+
+    def batch(amount):
+        return spark.createDataFrame([(START, amount)], "event_time timestamp, final_amount double")
+
+    def numbers():
+        rows = batch_log.whole_log(spark, path, closed).collect()
+        total = batch_log.whole_totals(spark, path, closed).first()
+        assert total["total_records"] == (len(rows) or None)
+        return sorted((r["batch_id"], float(r["total_value"])) for r in rows)
+
+    assert numbers() == [] and batch_log.compact_log(spark, path, closed) == 0
+    for k in range(6):
+        write(batch(float(k)), k)
+    # The last batch on record may come again, so its segment stays open.
+    assert batch_log.compact_log(spark, path, closed) == 1
+    write(batch(50.0), 5)
+    expected = [(k, float(k)) for k in range(5)] + [(5, 50.0)]
+    assert numbers() == expected
+    write(batch(6.0), 6)
+    kept = tmp_path / "kept"
+    shutil.copytree(tmp_path / "log", kept)
+    assert batch_log.compact_log(spark, path, closed) == 2
+    expected.append((6, 6.0))
+    assert numbers() == expected
+    # A run that stopped before the old folders were removed: nothing counts twice.
+    shutil.copytree(kept, tmp_path / "log", dirs_exist_ok=True)
+    assert numbers() == expected
+    assert batch_log.compact_log(spark, path, closed) == 2
+    assert sorted(p.name for p in (tmp_path / "log").glob("segment=*")) == ["segment=2"]
+    # One that stopped between rows and totals: the segment is still read from the log.
+    write(batch(9.0), 9)
+    log = spark.read.parquet(path).where("segment = 2")
+    log.write.mode("append").partitionBy("segment").parquet(f"{closed}/rows")
+    expected.append((9, 9.0))
+    assert numbers() == expected
+    assert batch_log.compact_log(spark, path, closed) == 3
+    assert numbers() == expected
+    files = list((tmp_path / "closed" / "rows").rglob("*.parquet"))
+    assert len(files) == 3, "one file per closed segment"
+
+
 def test_line_counts_of_arriving_files(spark, tmp_path):
     folder, out, checkpoint = tmp_path / "in", tmp_path / "out", str(tmp_path / "ck")
     folder.mkdir()
