@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import tuples
 from tidemark.operators import scd2
+from tidemark.sinks import dimensions
 from tidemark.sinks.files import write_csv
 from tidemark.sources.files import csv_with_header, dimension_file, feed_file
 
@@ -347,3 +348,80 @@ def versions(spark, rows):
 
 def small_feed(spark, rows):
     return spark.createDataFrame(rows, "customer_id int, name string, source_date date")
+
+
+def two_attributes(spark, rows):
+    return spark.createDataFrame(rows, FEED_SCHEMA)
+
+
+def files_of(path, run, part):
+    folder = path / "versions" / f"merge_run={run}" / f"open_part={part}"
+    return sorted(f.name for f in folder.glob("*.parquet"))
+
+
+@pytest.fixture()
+def stored(spark, tmp_path):
+    """Two closed versions, three open ones, one of them without an id."""
+    rows = [
+        (1, 1, "a", "x", date(2023, 1, 1), DAY, False),
+        (2, 1, "b", "x", DAY, OPEN, True),
+        (3, 2, "c", "x", DAY, OPEN, True),
+        (4, None, "d", "x", DAY, OPEN, True),
+        (5, 3, "e", "x", date(2023, 1, 1), DAY, None),
+    ]
+    df = spark.createDataFrame(rows, DIM_SCHEMA)
+    dimensions.create_dimension(df, str(tmp_path), DIM)
+    return df
+
+
+def test_merge_in_place_equals_the_merge_and_keeps_closed_files(spark, tmp_path, stored):
+    path = str(tmp_path)
+    read = lambda: tuples(dimensions.read_dimension(spark, path, stored.schema, DIM))
+    assert read() == tuples(stored)
+    closed = files_of(tmp_path, 0, "false")
+    feeds = [
+        [(1, "B", "x", date(2024, 2, 1)), (7, "n", "x", date(2024, 2, 1))],
+        [(1, "B", "y", date(2024, 3, 1)), (2, "c", "x", date(2024, 3, 1)), (None, "z", "z", DAY)],
+    ]
+    expected = stored
+    for run, rows in enumerate(feeds, 1):
+        feed = two_attributes(spark, rows)
+        expected = spark.createDataFrame(
+            scd2.scd2_merge(expected, feed, DIM).collect(), stored.schema
+        )
+        assert dimensions.merge_dimension(spark, path, stored.schema, feed, DIM) == run
+        assert read() == tuples(expected)
+        before = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+        assert dimensions.merge_dimension(spark, path, stored.schema, feed, DIM) == run
+        assert {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")} == before
+    assert files_of(tmp_path, 0, "false") == closed
+    dimensions.drop_old_runs(spark, path, keep=1)
+    assert files_of(tmp_path, 1, "true") == [] and read() == tuples(expected)
+    runs = tuples(dimensions.dimension_runs(spark, path))
+    assert runs == [(0, 0, 3, 2, 0), (1, 0, 4, 1, 2), (1, 1, 4, 1, 1)]
+
+
+def test_a_run_without_commit_is_not_seen_and_is_written_over(spark, tmp_path, stored, monkeypatch):
+    path, feed = str(tmp_path), two_attributes(spark, [(2, "C", "x", date(2024, 2, 1))])
+
+    def stop(*_):
+        raise RuntimeError("stopped before the commit")
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(dimensions, "_commit", stop)
+        dimensions.merge_dimension(spark, path, stored.schema, feed, DIM)
+    read = lambda: tuples(dimensions.read_dimension(spark, path, stored.schema, DIM))
+    assert files_of(tmp_path, 1, "true") and read() == tuples(stored)
+    other = two_attributes(spark, [(1, "Z", "x", date(2024, 2, 1))])
+    assert dimensions.merge_dimension(spark, path, stored.schema, other, DIM) == 1
+    assert read() == tuples(scd2.scd2_merge(stored, other, DIM))
+
+
+def test_only_the_parts_in_use_are_read(spark, tmp_path, stored):
+    path = str(tmp_path)
+    for k in (2, 3):
+        feed = two_attributes(spark, [(2, "C", str(k), date(2024, k, 1))])
+        dimensions.merge_dimension(spark, path, stored.schema, feed, DIM)
+    scanned = dimensions.read_dimension(spark, path, stored.schema, DIM)
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert "merge_run" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -188,8 +188,24 @@ def scd2_merge(
     weigh on one task. What is stored in between is the changes alone, by a job
     that runs while the result is being built.
     """
+    changes = numbered_changes(existing, feed, dim, duplicates)
+    joins = is_current(dim) & F.col(dim.business_id).isNotNull()
+    history = existing.filter(~joins).select(*dim.columns)
+    return history.unionByName(touched_versions(existing, changes, dim, close_offset_days))
+
+
+def numbered_changes(
+    existing: DataFrame, feed: DataFrame, dim: Dimension = CUSTOMER, duplicates: str = "error"
+) -> DataFrame:
+    """The feed rows that a merge applies, stored, with the ``rank`` that their keys follow."""
     changes = _changes(existing, feed, dim, duplicates).filter(_applicable(dim)).drop(_SINCE)
-    changes = dense_ids(changes, ["is_new", dim.business_id], name="rank")
+    return dense_ids(changes, ["is_new", dim.business_id], name="rank")
+
+
+def touched_versions(
+    existing: DataFrame, changes: DataFrame, dim: Dimension = CUSTOMER, close_offset_days: int = 0
+) -> DataFrame:
+    """Open versions with an id after the merge, closed where changed, and the new versions."""
     highest_key = existing.agg(F.coalesce(F.max(dim.key), F.lit(0)).alias("k")).scalar()
     types = {field.name: field.dataType for field in existing.schema}
     opened = changes.select(
@@ -216,8 +232,7 @@ def scd2_merge(
         .withColumn(dim.current, F.col(dim.current) & ~closed)
         .select(*dim.columns)
     )
-    history = existing.filter(~joins).select(*dim.columns)
-    return history.unionByName(after_close).unionByName(opened)
+    return after_close.unionByName(opened)
 
 
 def scd2_merge_sql(

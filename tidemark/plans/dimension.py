@@ -13,10 +13,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators import scd2
 from tidemark.operators.dense_ids import dense_ids as number_rows
 from tidemark.session import new_path, stage
+from tidemark.sinks.dimensions import (
+    create_dimension,
+    dimension_runs,
+    drop_old_runs,
+    merge_dimension,
+    read_dimension,
+)
 from tidemark.sources.files import dimension_file
 from tidemark.sources.tables import table
 
@@ -112,6 +120,30 @@ def scd2_merge_twice(spark: SparkSession, folder: str) -> DataFrame:
     return scd2.scd2_merge(merged, feed(spark, folder), DIM)
 
 
+def _stored(spark: SparkSession, folder: str) -> tuple[str, StructType]:
+    path, rows = new_path(spark, "stored-dimension"), existing(spark, folder)
+    create_dimension(rows, path, DIM)
+    return path, rows.schema
+
+
+def scd2_merge_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The merge in place, of a dimension in files; a second run of the feed writes nothing."""
+    path, schema = _stored(spark, folder)
+    for _ in range(2):
+        merge_dimension(spark, path, schema, feed(spark, folder), DIM)
+    return read_dimension(spark, path, schema, DIM)
+
+
+def scd2_merge_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of two merges of half the feed changed, with the first half applied twice."""
+    path, schema = _stored(spark, folder)
+    low = F.col("nation_key") < 12
+    for half in (low, low, ~low):
+        merge_dimension(spark, path, schema, feed(spark, folder).where(half), DIM)
+    drop_old_runs(spark, path, keep=1)
+    return dimension_runs(spark, path)
+
+
 def scd2_merge_latest(spark: SparkSession, folder: str) -> DataFrame:
     """A feed with many rows per customer: every order, of which the last one counts.
 
@@ -188,6 +220,8 @@ QUERIES = {
         scd2_rejects,
         scd2_merge_odd_feed,
         scd2_merge_twice,
+        scd2_merge_stored,
+        scd2_merge_runs,
         scd2_merge_latest,
         scd2_summary,
         scd2_history_kept,
@@ -285,6 +319,20 @@ SELECT record_type, count(*) AS records FROM classified GROUP BY 1""",
     "scd2_merge": f"WITH {_MERGED} SELECT * FROM merged",
     "scd2_merge_sql": f"WITH {_MERGED} SELECT * FROM merged",
     "scd2_merge_twice": f"WITH {_MERGED} SELECT * FROM merged",
+    "scd2_merge_stored": f"WITH {_MERGED} SELECT * FROM merged",
+    "scd2_merge_runs": f"""WITH {_INPUTS},
+counted AS (
+  SELECT nation_key >= 12 AS later, count(*) FILTER (record_type = 'CHANGED') AS changed,
+    count(*) FILTER (record_type = 'NEW') AS new
+  FROM classified WHERE record_type IN ('CHANGED', 'NEW') GROUP BY 1),
+versions AS (SELECT count(*) FILTER (is_current) AS open, count(*) AS n FROM existing)
+SELECT CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS new, open AS open_versions,
+  n - open AS closed_versions, CAST(0 AS INTEGER) AS merge_run
+FROM versions
+UNION ALL
+SELECT changed, new, CAST(open + sum(new) OVER (ORDER BY later) AS BIGINT), changed,
+  CAST(1 + later::INT AS INTEGER)
+FROM counted, versions""",
     "scd2_merge_latest": f"""WITH {_INPUTS},
 ranked AS (
   SELECT o_custkey AS customer_id, o_orderpriority AS segment,
