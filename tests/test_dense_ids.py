@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.dense_ids import dense_ids
-from tidemark.session import shared_dir, sizing, stage
+from tidemark.session import shared_dir, sizing, stage, staging
+from tidemark.sinks.files import read_with_places, write_report, write_small_csv, write_sorted
 
 
 def numbered(df, order_by, **options):
@@ -40,6 +42,69 @@ def test_text_keys_start_and_nothing_left_behind(spark):
     assert dense_ids(df.limit(0), ["k"]).count() == 0
 
 
+@pytest.mark.parametrize("unique", [False, True])
+def test_the_first_rows_by_counts(spark, unique):
+    rows = [(None if i == 7 else i // 3, i, f"text {i}") for i in range(5000)]
+    random.Random(2).shuffle(rows)
+    df = spark.createDataFrame(rows, "a int, b int, text string").repartition(9)
+    expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for most in (0, 1, 777, 4999, 5000, 9000):
+        ids = dense_ids(df, ["a", "b"], unique=unique, at_most=most, start=5)
+        assert ids.columns == ["a", "b", "text", "row_id"]
+        got = [tuple(r) for r in ids.orderBy("row_id").collect()]
+        assert got == [(*r, k + 5) for k, r in enumerate(expected[:most])]
+        plan = ids._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+
+
+def test_only_keys_are_stored_where_they_are_unique(spark, tmp_path):
+    df = spark.range(2000).selectExpr("id", "repeat(uuid(), 40) AS payload")
+    df = stage(df, "payload")
+
+    def stored_bytes(unique):
+        with staging(spark) as folder:
+            ids = dense_ids(df, ["id"], unique=unique)
+            assert ids.agg(F.sum("row_id")).first()[0] == 2000 * 2001 // 2
+            return sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+
+    assert stored_bytes(True) * 10 < stored_bytes(False)
+
+
+def test_equal_keys_are_numbered_or_refused(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (0, "z")], "k int, text string")
+    assert sorted(r["row_id"] for r in dense_ids(df, ["k"]).collect()) == [1, 2, 3]
+    with pytest.raises(Exception, match="not unique"):
+        dense_ids(df, ["k"], unique=True).collect()
+
+
+def test_sorted_files_follow_the_order_by_name(spark, tmp_path):
+    """One id holds a third of the rows; it is cut over several files."""
+    rows = [(3 if i % 3 == 0 else i % 50, i) for i in range(20_000)]
+    random.Random(4).shuffle(rows)
+    df = spark.createDataFrame(rows, "id int, start int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_sorted(df, str(tmp_path / "sorted"), "id", "start")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    placed = read_with_places(spark, str(tmp_path / "sorted")).collect()
+    placed.sort(key=lambda r: (r["file_name"], r["row_index"]))
+    assert [(r["id"], r["start"]) for r in placed] == sorted(rows)
+    assert len({r["file_name"] for r in placed if r["id"] == 3}) > 1
+
+
+def test_one_file_is_refused_for_many_rows(spark, tmp_path):
+    df = spark.range(30).selectExpr("id", "string(id) AS text")
+    write_small_csv(df, str(tmp_path / "few"), most=30)
+    assert len(list((tmp_path / "few").glob("*.csv"))) == 1
+    with pytest.raises(ValueError, match="one task"):
+        write_small_csv(df, str(tmp_path / "many"), most=29)
+    assert not (tmp_path / "many").exists()
+    report = df.selectExpr("id AS position", "'s' AS section", "text AS name", "text AS value")
+    with pytest.raises(ValueError, match="one task"):
+        write_report(report, str(tmp_path / "report"), most=10)
+
+
 def test_stage_reads_back_what_was_written(spark):
     df = spark.range(10).withColumn("twice", F.col("id") * 2)
     stored = stage(df, "test")

@@ -217,15 +217,17 @@ def numbered_batches(
     batch_size: int,
     max_records: int | None = None,
     names: Transactions = Transactions(),
+    unique: bool = False,
 ) -> DataFrame:
     """Adds record id, batch number and place in the batch, in order of ``order_by``.
 
     ``max_records`` keeps only the first records, for a publisher that was told
-    to stop there.
+    to stop there; no task holds more than its range of them. ``unique`` says that
+    no two rows are equal in ``order_by``, see ``dense_ids``.
     """
-    if max_records is not None:
-        rows = rows.orderBy(*order_by).limit(max_records)
-    numbered = dense_ids(rows, order_by, name=names.record)
+    numbered = dense_ids(
+        rows, order_by, name=names.record, unique=unique, at_most=max_records
+    )
     before = f"({names.record} - 1)"
     return numbered.withColumns(
         {

@@ -25,6 +25,7 @@ from tidemark.sinks.dimensions import (
     merge_dimension,
     read_dimension,
 )
+from tidemark.sinks.files import read_with_places, write_sorted
 from tidemark.sources.files import dimension_file
 from tidemark.sources.tables import table
 
@@ -204,10 +205,19 @@ def scd2_load(spark: SparkSession, folder: str) -> DataFrame:
     return dimension_file(spark, path)
 
 
+def scd2_sorted(spark: SparkSession, folder: str) -> DataFrame:
+    """The merged dimension in files sorted by id and start, numbered by file and place."""
+    path = new_path(spark, "sorted-dimension")
+    write_sorted(scd2_merge(spark, folder), path, "customer_id", "effective_start_date", "customer_key")
+    places = read_with_places(spark, path).select("customer_key", "file_name", "row_index")
+    return number_rows(places, ["file_name", "row_index"]).select("customer_key", "row_id")
+
+
 def dense_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Orders numbered by date, then key."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    return number_rows(orders, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "row_id")
+    numbered = number_rows(orders, ["o_orderdate", "o_orderkey"], unique=True)
+    return numbered.select("o_orderkey", "row_id")
 
 
 QUERIES = {
@@ -228,6 +238,7 @@ QUERIES = {
         anti_by_subquery,
         scd2_as_of,
         scd2_load,
+        scd2_sorted,
         dense_ids,
     )
 }
@@ -375,6 +386,9 @@ SELECT CAST(customer_key AS INTEGER) AS customer_key, CAST(customer_id AS INTEGE
   customer_id || '@email.com' AS email, effective_start_date, effective_end_date, is_current,
   customer_id IS NULL AS rejected
 FROM existing""",
+    "scd2_sorted": f"""WITH {_MERGED}
+SELECT customer_key, row_number() OVER (
+  ORDER BY customer_id NULLS FIRST, effective_start_date, customer_key) AS row_id FROM merged""",
     "dense_ids": """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_id FROM orders""",
 }
