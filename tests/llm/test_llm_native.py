@@ -8,6 +8,7 @@ import math
 import random
 import re
 import string
+import time
 from pathlib import Path
 
 import duckdb
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tests_llm_helpers import docs_of, rows_of  # noqa: F401 (fixtures)
 
 import corpus_pipeline
-from tidemark.llm import pii, plans, quality, secret_scan, simhash_pivots, tiling, warc
+from tidemark.llm import pii, plans, quality, secret_scan, simhash_pivots, spans, tiling, warc
 from tidemark.session import new_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -385,6 +386,51 @@ def test_recall_by_encoding_and_length(spark):
 # -------------------------------------------------------------- pipeline
 
 
+def seconds(df) -> float:
+    begin = time.perf_counter()
+    df.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - begin
+
+
+@pytest.mark.parametrize("job", ["personal_data", "redact", "secrets"])
+def test_many_spans_in_one_text_take_time_in_proportion(spark, docs_of, job):
+    """32,000 matches in 640 KB, and twice as many; the battery's tokens cost more each."""
+    run = {"personal_data": pii.personal_data, "redact": pii.redact, "secrets": secret_scan.secrets}
+    word = "passwd=x{0:06d} aq{0:06d}Zb9xK2" if job == "secrets" else "u{0:06d}@mail{0:04d}.org"
+    times = []
+    for n in (200, 4_000, 8_000) if job == "secrets" else (200, 32_000, 64_000):
+        text = " ".join(word.format(k) for k in range(n))
+        times.append(seconds(run[job](docs_of([(1, text)]))))
+    assert times[1] < 25 and times[2] < 2.6 * times[1] + 2
+
+
+def test_scans_and_pieces(spark):
+    """Running values over blocks, and parts of texts cut into pieces, by plain Python."""
+    numbers = [list(range(n)) for n in (0, 1, 63, 64, 65, 200)]
+    df = spark.createDataFrame([(x,) for x in numbers], "x array<bigint>")
+    got = df.select(spans.scan(F.col("x"), F.lit(5), lambda at, v: at + v)).collect()
+    for row, x in zip(got, numbers):
+        assert row[0] == [5 + sum(x[:k]) for k in range(len(x))]
+    text = "aé😀\n" * 300
+    places = [(0, 0), (0, 5), (255, 257), (256, 512), (700, 1200), (1199, 1200), (1200, 1200)]
+    df = spark.createDataFrame([(text, a, b) for a, b in places], "t string, a bigint, b bigint")
+    got = df.select(spans.between(spans.pieces(F.col("t")), F.col("a"), F.col("b"))).collect()
+    assert [r[0] for r in got] == [text[a:b] for a, b in places]
+
+
+def test_names_of_other_columns_do_not_clash(spark):
+    """Columns named like those that stages use inside stay, with their values."""
+    names = ["pii", "_pii", "kept_id", "_kept_id", "fp", "_fp", "bad", "_bad", "found", "text_"]
+    rows = [(1, "mail a@b.org now"), (2, "other words here"), (None, "no id"), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs = docs.selectExpr("*", *(f"'{n}' AS `{n}`" for n in names))
+    benchmark = spark.createDataFrame([(1, "nothing like these words at all")], "item_id int, text string")
+    for out in (pii.redact(docs), simhash_pivots.keep_one(docs), tiling.clean(docs, benchmark)):
+        assert out.columns == docs.columns
+        assert {tuple(r[n] for n in names) for r in out.collect()} == {tuple(names)}
+    assert secret_scan.with_secrets(docs).drop("secrets").columns == docs.columns
+
+
 def test_stages_by_themselves(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     names = [name for name, _ in corpus_pipeline.STAGES]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import sys
@@ -295,12 +296,23 @@ def test_quality_of_odd_input(spark, docs_of):
     for given_labels in (nothing, odd):
         rows = quality.classified(docs, given_labels).collect()
         assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
-        assert [r.score for r in rows if r.doc_id in (2, None)] == [0.5, 0.5]
-    assert {r.score for r in quality.classified(docs, nothing).collect()} == {0.5}
+        assert [(r.score, r.predicted) for r in rows if r.doc_id in (2, None)] == [(0.0, 0)] * 2
+    untrained = quality.classified(docs, nothing).collect()
+    assert [r.score for r in untrained if r.doc_id in (1, 3)] == [0.5] * 3
     assert quality.classified(docs.limit(0), nothing).count() == 0
     assert quality.accepted(docs, nothing).columns == docs.columns
 
 
+def test_scores_are_a_mean_and_a_softmax():
+    """By hand: the mean of the learned numbers of all features of all words, through the softmax."""
+    table = quality.train(["fine words here"] * 6 + ["bad | spam |"] * 6, [1] * 6 + [0] * 6)
+    for text in ("fine bad words", "spam", "unseen things | here", "fine " * 50):
+        features = [f for word in quality.words_of(text) for f in quality.features_of(word)]
+        mean = sum(float(table[f]) for f in features) / len(features)
+        softmax = math.exp(mean) / (math.exp(mean) + math.exp(0.0))
+        assert quality.Scorer(table).score(text) == pytest.approx(softmax, rel=1e-5)
+
+
 def test_scorer_bound(monkeypatch):
     table = quality.train(["a b c"] * 4 + ["x | y |"] * 4, [1] * 4 + [0] * 4)
     whole = quality.Scorer(table).score("a b | zz")

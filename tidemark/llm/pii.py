@@ -13,7 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import EMPTY, find_spans, listed, redacted
+from tidemark.llm.spans import (
+    EMPTY,
+    between,
+    bound,
+    find_spans,
+    fresh,
+    listed,
+    pieces,
+    redacted,
+    scan,
+)
 
 #: [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
 EMAIL = (
@@ -106,15 +116,18 @@ def account_numbers(text: Column) -> Column:
         f"(?:{codes.replace(' ', '|')}).{{{size - 2}}}" for size, codes in IBAN_LENGTHS.items()
     )
 
-    def whole(head: Column) -> Column:
-        ahead = F.substr(text, head["start"] + 1, F.lit(_IBAN_REACH))
-        ends = F.array(
-            *[
-                F.regexp_extract(
-                    ahead, rf"^[A-Z0-9](?:\x20?[A-Z0-9]){{{size - 1}}}(?![A-Za-z0-9])", 0
-                )
-                for size in _IBAN_SIZES
-            ]
+    def whole(cut: Column, length: Column, head: Column) -> Column:
+        ahead = between(cut, head["start"], F.least(head["start"] + _IBAN_REACH, length))
+        ends = bound(
+            ahead,
+            lambda shown: F.array(
+                *[
+                    F.regexp_extract(
+                        shown, rf"^[A-Z0-9](?:\x20?[A-Z0-9]){{{size - 1}}}(?![A-Za-z0-9])", 0
+                    )
+                    for size in _IBAN_SIZES
+                ]
+            ),
         )
         # One-element arrays bind a value, so it is computed once.
         passing = F.transform(
@@ -150,16 +163,36 @@ def account_numbers(text: Column) -> Column:
             1,
         )
 
-    heads = find_spans(text, IBAN, "iban")
-    spans = F.filter(F.transform(heads, whole), lambda span: span["value"].isNotNull())
-    apart = F.aggregate(
-        spans,
-        F.array().cast(EMPTY),
-        lambda done, span: F.when(
-            F.exists(done, lambda x: x["end"] >= span["end"]), done
-        ).otherwise(F.concat(done, F.array(span))),
+    def all_of(heads: Column) -> Column:
+        spans = bound(
+            pieces(text),
+            lambda cut: bound(
+                F.length(text).cast("bigint"),
+                lambda length: F.transform(heads, lambda h: whole(cut, length, h)),
+            ),
+        )
+        known = F.filter(spans, lambda span: span["value"].isNotNull())
+        return bound(
+            known,
+            lambda found: F.transform(
+                F.filter(
+                    F.zip_with(
+                        found,
+                        scan(found, F.lit(-1), lambda at, x: F.greatest(at, x["end"])),
+                        lambda span, reached: F.struct(
+                            span.alias("span"), (span["end"] > reached).alias("beyond")
+                        ),
+                    ),
+                    lambda x: x["beyond"],
+                ),
+                lambda x: x["span"],
+            ),
+        )
+
+    return bound(
+        find_spans(text, IBAN, "iban"),
+        lambda heads: F.when(F.size(heads) > 0, all_of(heads)).otherwise(F.array().cast(EMPTY)),
     )
-    return F.when(F.size(heads) > 0, apart).otherwise(F.array().cast(EMPTY))
 
 
 _RULES: dict[str, tuple[str, Callable[[Column], Column] | None]] = {
@@ -172,26 +205,60 @@ _RULES: dict[str, tuple[str, Callable[[Column], Column] | None]] = {
 }
 
 
-def score(text: Column, span: Column, kind: str) -> Column:
-    """What the pattern says alone, more with a passed checksum, more with a context word nearby."""
-    before = F.substr(text, F.greatest(span["start"] - NEARBY, F.lit(0)) + 1,
-                      F.least(span["start"], F.lit(NEARBY)))
-    behind = F.substr(text, span["end"] + 1, F.lit(NEARBY))
+def score(cut: Column, length: Column, span: Column, kind: str) -> Column:
+    """What the pattern says alone, more with a passed checksum, more with a context word nearby.
+
+    ``cut`` is the text in pieces, ``length`` its code points.
+    """
+    before = between(cut, F.greatest(span["start"] - NEARBY, F.lit(0)), span["start"])
+    behind = between(cut, span["end"], F.least(span["end"] + NEARBY, length))
     near = F.concat(before, F.lit(" "), behind).rlike(_CONTEXT[kind])
     sure = _PATTERN_ALONE[kind] + CHECKED_ADDS * (kind in _CHECKED)
     return F.least(F.lit(1.0), F.lit(sure) + F.when(near, CONTEXT_ADDS).otherwise(0.0))
 
 
-def _confident(text: Column, kind: str) -> Callable[[Column], Column]:
-    return lambda span: score(text, span, kind) >= LEAST_SCORE
+def _with_pieces(
+    text: Column, spans: Column, use: Callable[[Column, Column, Column], Column], empty: Column
+) -> Column:
+    """``use(spans, pieces, length)``; texts without a span are not cut."""
 
+    def with_length(found: Column, cut: Column) -> Column:
+        return bound(F.length(text).cast("bigint"), lambda length: use(found, cut, length))
 
-def _with_score(text: Column, kind: str) -> Callable[[Column], Column]:
-    return lambda s: F.concat_ws(
-        ":", F.lit(kind), s["start"], s["end"], F.format_number(score(text, s, kind), 2)
+    return bound(
+        spans,
+        lambda found: F.when(
+            F.size(found) > 0, bound(pieces(text), lambda cut: with_length(found, cut))
+        ).otherwise(empty),
     )
 
 
+def _confident(text: Column, spans: Column, kind: str) -> Column:
+    return _with_pieces(
+        text,
+        spans,
+        lambda found, cut, length: F.filter(
+            found, lambda span: score(cut, length, span, kind) >= LEAST_SCORE
+        ),
+        F.array().cast(EMPTY),
+    )
+
+
+def _with_score(text: Column, spans: Column, kind: str) -> Column:
+    return _with_pieces(
+        text,
+        spans,
+        lambda found, cut, length: F.transform(
+            found,
+            lambda s: F.concat_ws(
+                ":", F.lit(kind), s["start"], s["end"],
+                F.format_number(score(cut, length, s, kind), 2),
+            ),
+        ),
+        F.array().cast("array<string>"),
+    )
+
+
 def with_spans(docs: DataFrame, name: str = "pii") -> DataFrame:
     """Adds the struct column ``name`` with an array of spans for every kind.
 
@@ -205,7 +272,7 @@ def with_spans(docs: DataFrame, name: str = "pii") -> DataFrame:
             account_numbers(text) if kind == "iban" else find_spans(text, pattern, kind, keep)
         )
         if kind not in BASE_KINDS:
-            spans = F.filter(spans, _confident(text, kind))
+            spans = _confident(text, spans, kind)
         found.append(spans.alias(kind))
     # The array keeps the expressions from being repeated where the column is used.
     return docs.select("*", F.inline(F.array(F.struct(F.struct(*found).alias(name)))))
@@ -213,7 +280,7 @@ def with_spans(docs: DataFrame, name: str = "pii") -> DataFrame:
 
 def scored(text: Column, spans: Column) -> Column:
     """``kind:start:end:score`` of every span in order, with two decimals."""
-    each = [F.transform(spans[kind], _with_score(text, kind)) for kind in KINDS]
+    each = [_with_score(text, spans[kind], kind) for kind in KINDS]
     return F.concat_ws(",", F.concat(*each))
 
 
@@ -241,12 +308,13 @@ def redact(docs: DataFrame) -> DataFrame:
     All rows and columns stay; a NULL text stays NULL.
     """
     columns = docs.columns
-    found = with_spans(docs, "_pii")
-    every = F.concat(*[F.col(f"_pii.{kind}") for kind in KINDS])
+    own = fresh(columns, "pii")
+    found = with_spans(docs, own)
+    every = F.concat(*[F.col(f"`{own}`.{kind}") for kind in KINDS])
     found = found.withColumn("text", redacted(F.col("text"), every))
     if "n_chars" in columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
         found = found.withColumn(
             "n_chars", F.when(F.size(every) > 0, changed).otherwise(F.col("n_chars"))
         )
-    return found.select(*columns)
+    return found.select(*(F.col(f"`{name}`") for name in columns))

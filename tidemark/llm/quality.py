@@ -110,7 +110,7 @@ class Scorer:
             adds, count = self._words.get(word) or self._word(word)
             total += adds
             features += count
-        return float(1 / (1 + np.exp(-total / features))) if features else 0.5
+        return float(1 / (1 + np.exp(-total / features))) if features else 0.0
 
 
 def held_out(doc_id: Column) -> Column:
@@ -132,7 +132,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int, most_bytes: int)
         picked = some if picked is None else picked.union(some)
     rows = picked.join(short.select("doc_id", "text"), "doc_id").select("doc_id", "text", "label")
     # Repeated rows may exceed the bound again.
-    return sorted(rows.limit(2 * per_label).collect())
+    return sorted(rows.orderBy("doc_id", "label", "text").limit(2 * per_label).collect())
 
 
 def fit(
@@ -141,7 +141,7 @@ def fit(
     per_label: int = SAMPLE_PER_LABEL,
     most_bytes: int = SAMPLE_BYTES,
 ) -> np.ndarray:
-    """The trained table; zeros, which score all texts one half, without rows of both labels."""
+    """The trained table; zeros, which score all texts with words one half, without rows of both labels."""
     rows = sample(docs, labels, per_label, most_bytes)
     if len({label for _, _, label in rows}) < 2:
         return np.zeros(BUCKETS, np.float32)
@@ -149,7 +149,7 @@ def fit(
 
 
 def score_column(spark: SparkSession, table: np.ndarray) -> Callable[[Column], Column]:
-    """Column function: text to score; NULL and empty texts score one half."""
+    """Column function: text to score; texts without words, empty and NULL ones, score 0."""
     ship_package(spark)
     shipped = spark.sparkContext.broadcast(table)  # BUCKETS numbers, whatever the data
 

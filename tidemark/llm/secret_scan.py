@@ -28,7 +28,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import find_spans, listed
+from tidemark.llm.spans import bound, find_spans, fresh, listed, scan
 
 #: The plain forms; the key words count in either case.
 ASSIGN = (
@@ -177,35 +177,87 @@ def _discoveries(spans: Column) -> Column:
     lengths = F.aggregate(
         spans, F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"]
     )
-    mean = lengths / F.size(spans)
 
     def weighted(items: Column) -> Column:
-        return F.array_sort(
-            F.transform(
-                items,
-                lambda x: F.struct(
-                    (x["p"] * mean / (x["span"]["end"] - x["span"]["start"])).alias("p"),
-                    x["span"].alias("span"),
-                ),
-            )
+        return bound(
+            lengths / F.size(spans),
+            lambda mean: F.array_sort(
+                F.transform(
+                    items,
+                    lambda x: F.struct(
+                        (x["p"] * mean / (x["span"]["end"] - x["span"]["start"])).alias("p"),
+                        x["span"].alias("span"),
+                    ),
+                )
+            ),
         )
 
     def step_up(ranked: Column) -> Column:
         passing = F.filter(
             F.transform(
                 ranked,
-                lambda x, k: F.when(x["p"] <= RATE * (k + 1) / F.size(spans), x["p"]),
+                lambda x, k: F.when(x["p"] <= RATE * (k + 1) / F.size(ranked), x["p"]),
             ),
             lambda p: p.isNotNull(),
         )
-        most = F.array_max(passing)
-        return F.transform(F.filter(ranked, lambda x: x["p"] <= most), lambda x: x["span"])
+        return bound(
+            F.array_max(passing),
+            lambda most: F.transform(
+                F.filter(ranked, lambda x: x["p"] <= most), lambda x: x["span"]
+            ),
+        )
 
-    # One-element arrays bind the ranked list, so it is computed once.
-    found = F.element_at(F.transform(F.array(weighted(judged)), step_up), 1)
+    found = bound(weighted(judged), step_up)
     return F.when(F.size(spans) == 0, spans).otherwise(found)
 
 
+def _apart(tokens: Column, others: Column) -> Column:
+    """Tokens that overlap none of the others, by one pass in order and one against it.
+
+    Of two spans that overlap, the later one begins before the end of the other.
+    """
+
+    def entries(spans: Column, is_token: bool) -> Column:
+        return F.transform(
+            spans,
+            lambda s: F.struct(
+                s["start"], F.lit(is_token).alias("token"), s["end"].alias("end"), s.alias("span")
+            ),
+        )
+
+    def kept(ordered: Column) -> Column:
+        reached = scan(
+            ordered,
+            F.lit(-1),
+            lambda at, x: F.when(x["token"], at).otherwise(F.greatest(at, x["end"])),
+        )
+        next_start = F.reverse(
+            scan(
+                F.reverse(ordered),
+                F.lit((1 << 62)),
+                lambda at, x: F.when(x["token"], at).otherwise(F.least(at, x["start"])),
+            )
+        )
+        limits = F.zip_with(
+            reached,
+            next_start,
+            lambda low, high: F.struct(low.alias("low"), high.alias("high")),
+        )
+        clear = F.zip_with(
+            ordered,
+            limits,
+            lambda x, limit: F.when(
+                x["token"] & (x["start"] >= limit["low"]) & (limit["high"] >= x["end"]), x["span"]
+            ),
+        )
+        return F.filter(clear, lambda span: span.isNotNull())
+
+    both = bound(
+        F.array_sort(F.concat(entries(tokens, True), entries(others, False))), kept
+    )
+    return F.when((F.size(tokens) == 0) | (F.size(others) == 0), tokens).otherwise(both)
+
+
 def _by_start(spans: Column, kinds: tuple[str, ...]) -> Column:
     order = F.array(*map(F.lit, kinds))
     keyed = F.transform(
@@ -226,36 +278,30 @@ def with_secrets(docs: DataFrame, name: str = "secrets") -> DataFrame:
     def long_enough(value: Column) -> Column:
         return F.length(F.regexp_extract(value, ASSIGN, 1)) >= LEAST_VALUE
 
+    own = fresh([*docs.columns, name], "found")
     found = docs.select(
         "*",
         F.inline(
             F.array(
                 F.struct(
-                    find_spans(text, ASSIGN, "assign", long_enough).alias("_assign"),
-                    find_spans(text, ACCESS, "access").alias("_access"),
-                    find_spans(text, HEX, "hex").alias("_hex"),
-                    find_spans(text, TOKEN, "random", is_tested).alias("_token"),
+                    F.struct(
+                        find_spans(text, ASSIGN, "assign", long_enough).alias("assign"),
+                        find_spans(text, ACCESS, "access").alias("access"),
+                        find_spans(text, HEX, "hex").alias("hex"),
+                        find_spans(text, TOKEN, "random", is_tested).alias("token"),
+                    ).alias(own)
                 )
             )
         ),
     )
-    base = F.concat("_assign", "_access", "_hex")
-    apart = F.filter(
-        "_token",
-        lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
-    )
+    kinds = [F.col(f"`{own}`.{kind}") for kind in KINDS]
+    apart = bound(_apart(F.col(f"`{own}`.token"), F.concat(*kinds)), _discoveries)
     struct = F.struct(
-        F.col("_assign").alias("assign"),
-        F.col("_access").alias("access"),
-        F.col("_hex").alias("hex"),
-        F.col("_random").alias("random"),
-    )
-    return (
-        found.select("*", F.inline(F.array(F.struct(apart.alias("_apart")))))
-        .withColumn("_random", _discoveries(F.col("_apart")))
-        .withColumn(name, struct)
-        .drop("_assign", "_access", "_hex", "_token", "_apart", "_random")
+        *(kind.alias(k) for kind, k in zip(kinds, KINDS)), apart.alias("random")
     )
+    # The array keeps the expressions from being repeated where the column is used.
+    found = found.select("*", F.inline(F.array(F.struct(struct.alias(name)))))
+    return found.drop(own)
 
 
 def secrets(docs: DataFrame) -> DataFrame:

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from tidemark.llm.components import connected_components
+from tidemark.llm.spans import fresh
 from tidemark.session import ship_package, stage
 
 BITS = 64
@@ -205,12 +206,11 @@ def keep_one(
     which no row has one, one row for each such group.
     """
     rows = stage(near_duplicates(docs, words_per_shingle, max_bits), "groups")
-    kept = rows.where("component_id is not null").select(
-        F.col("component_id").alias("_kept_id")
-    ).distinct()
+    own = fresh(docs.columns, "kept_id")
+    kept = rows.where("component_id is not null").select(F.col("component_id").alias(own)).distinct()
     named = (
         docs.where("doc_id is not null")
-        .join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+        .join(kept, F.col("doc_id") == F.col(own), "left_semi")
         .dropDuplicates(["doc_id", "text"])
     )
     nameless = _nameless(docs, rows, words_per_shingle, max_bits)
@@ -226,7 +226,8 @@ def _nameless(
         return None
     groups = connected_components(links(alone, max_bits), "a", "b")
     kept = alone.join(groups, alone["fp"] == groups["node"], "left_anti")
-    fp = simhash(words_per_shingle)(F.col("text")).alias("_fp")
+    own = fresh(docs.columns, "fp")
+    fp = simhash(words_per_shingle)(F.col("text")).alias(own)
     without = docs.where("doc_id is null").select("*", fp)
-    chosen = without.join(kept.withColumnRenamed("fp", "_fp"), "_fp", "left_semi")
-    return chosen.dropDuplicates(["_fp"]).drop("_fp")
+    chosen = without.join(kept.select(F.col("fp").alias(own)), own, "left_semi")
+    return chosen.dropDuplicates([own]).drop(own)

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.spans import fresh
 from tidemark.session import ship_package, stage
 
 SEED_WORDS = 5
@@ -239,5 +240,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     marked = contamination(
         docs.select(mark.alias("doc_id"), "text"), benchmark, **options
     )
-    bad = stage(marked.select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, mark == F.col("_bad"), "left_anti")
+    own = fresh(docs.columns, "bad")
+    bad = stage(marked.select(F.col("doc_id").alias(own)).distinct(), "contaminated")
+    return docs.join(bad, mark == F.col(own), "left_anti")
