@@ -162,6 +162,35 @@ def test_edited_fingerprints_of_few_rows(docs_of):
     assert sorted(r.n_chars for r in rows.collect()) == [1, 1, 1, 2]
 
 
+@pytest.mark.parametrize("hot", [None, 7, -(1 << 63)])
+def test_a_frequent_id_is_cut_over_tasks(spark, hot):
+    """Half of all rows on one id, or without one: no task holds twice the mean, results hold."""
+    pairs = [(k * 3 if k % 2 else hot, f"text {k} of many") for k in range(4000)]
+    docs = spark.createDataFrame(pairs, "doc_id bigint, text string").repartition(4)
+    dealt = fingerprints._dealt(docs, 16)
+    sizes = [n for _, n in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16
+    assert max(sizes) < 2 * 4000 / 16
+    assert dealt.where("copy").count() == 16
+    rows = fingerprints.edited_fingerprints(docs).collect()
+    assert len(rows) == 4000
+    # Every document precedes one other: one closed chain in falling order of ids.
+    assert Counter(r.next_fp for r in rows) == Counter(r.fp for r in rows)
+    word = {t: plain_weighted(t) for _, t in pairs}
+    signed = {t: w - 2**64 if w >> 63 else w for t, w in word.items()}
+    alone = sorted((i, t) for i, t in pairs if i is not None and i != hot and i > 7)
+    follows = {i: signed[t] for (_, t), (i, _) in zip(alone, alone[1:])}
+    got = {r.doc_id: r.next_fp for r in rows}
+    assert {i: got[i] for i in follows} == follows
+
+
+def test_repeated_rows_of_one_id_keep_their_rows(docs_of):
+    docs = docs_of([(5, "a b c d")] * 300 + [(6, "x y z w")] * 3)
+    rows = fingerprints.edited_fingerprints(docs).collect()
+    assert Counter(r.doc_id for r in rows) == {5: 300, 6: 3}
+    assert Counter(r.next_fp for r in rows) == Counter(r.fp for r in rows)
+
+
 @pytest.mark.parametrize("radius", [2, 3])
 def test_near_counts_by_brute_force(spark, radius, monkeypatch):
     monkeypatch.setattr(fingerprints, "CHUNK", 7)

@@ -10,7 +10,6 @@ key in each table and compares the words found there.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
@@ -29,6 +28,7 @@ SEED = 42
 RADIUS = 3
 QUERY_STEP = 100
 CHUNK = 512  # fingerprints of one key that are compared as one array
+FINE = 8  # quantiles of the ids for each range of them
 _WEIGHT_STEPS = 16
 _LEAST_ID = -(1 << 63)
 _TERMS = 1 << 16
@@ -79,47 +79,60 @@ _OUT = pa.schema(
 
 
 def _dealt(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows by ranges of ids, each range with a copy of the document that follows it.
+    """Rows by ranges of ids, one range a task, each with a copy of the document that follows it.
 
-    Only ids are read to find the ranges; at most ``parts`` borders and first
-    ids reach the driver. The text is shuffled once.
+    The ranges come from ``FINE`` times as many quantiles of the ids. An id that
+    is a quantile more than once, or the missing id, holds that many shares of
+    the rows and is cut into as many ranges by a hash of the text; only then are
+    texts read to find the ranges. The quantiles and at most one first row's id
+    and hash for each range reach the driver. The text is shuffled once.
     """
-    keys = docs.select(F.coalesce("doc_id", F.lit(_LEAST_ID)).alias("key"))
-    shares = [k / parts for k in range(1, parts)] or [0.5]
-    borders = keys.agg(
-        F.percentile_approx("key", F.array(*map(F.lit, shares)), F.lit(100 * parts))
-    ).first()[0]
-    borders = sorted(set(borders or []))
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LEAST_ID)).alias("key")
+    shares = ",".join(f"{k / (FINE * parts)}D" for k in range(1, FINE * parts))
+    found = docs.select(key).agg(
+        F.percentile_approx("key", F.expr(f"array({shares})"), F.lit(100 * parts))
+    )
+    borders = sorted(found.first()[0] or [])
+    repeated = len(set(borders)) < len(borders)
+    text = F.coalesce("text", F.lit("")).alias("text")
+    tie = (F.xxhash64(text) if repeated else F.lit(0).cast("bigint")).alias("tie")
 
     @F.pandas_udf("int")
-    def part_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(np.array(borders, np.int64), key.to_numpy(np.int64)))
-
-    heads = keys.groupBy(part_of("key").alias("part")).agg(F.max("key")).collect()
-    heads = sorted(map(tuple, heads), reverse=True)
+    def part_of(key: pd.Series, tie: pd.Series) -> pd.Series:
+        keys, known = key.to_numpy(np.int64), np.array(borders, np.int64)
+        first = np.searchsorted(known, keys)
+        held = np.maximum(1, np.searchsorted(known, keys, side="right") - first)
+        share = tie.to_numpy(np.int64) / 2.0**64 + 0.5  # rises with the hash, from 0 to 1
+        place = first + np.minimum((share * held).astype(np.int64), held - 1)
+        return pd.Series((place // FINE).astype(np.int32))
+
+    ranges = docs.select(key, tie).select("*", part_of("key", "tie").alias("part"))
+    heads = ranges.groupBy("part").agg(F.max(F.struct("key", "tie"))).collect()
+    heads = sorted(((part, tuple(head)) for part, head in heads), reverse=True)
     # The head of a range follows the range above it; the first follows the last.
-    receivers = {key: heads[k - 1][0] for k, (_, key) in enumerate(heads)}
-    known = sorted(receivers)
+    receivers = {head: heads[k - 1][0] for k, (_, head) in enumerate(heads)}
 
     @F.pandas_udf("int")
-    def also_to(key: pd.Series) -> pd.Series:
-        places = [bisect_left(known, x) for x in key]
-        hit = (known[p] if p < len(known) else None for p in places)
-        return pd.Series([receivers[x] if x == h else -1 for x, h in zip(key, hit)], dtype="int32")
-
-    rows = docs.select(
-        "doc_id",
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("doc_id", F.lit(_LEAST_ID)).alias("key"),
-    ).select("*", part_of("key").alias("own"), also_to("key").alias("other"))
+    def also_to(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        keys = np.array([key for key, _ in receivers], np.int64)
+        for key, tie in batches:
+            to = np.full(len(key), -1, np.int32)
+            for row in np.flatnonzero(np.isin(key.to_numpy(np.int64), keys)):
+                to[row] = receivers.get((key.iloc[row], tie.iloc[row]), -1)
+            yield pd.Series(to)
+
+    rows = docs.select("doc_id", text, key, tie)
+    rows = rows.select(
+        "*", part_of("key", "tie").alias("own"), also_to("key", "tie").alias("other")
+    )
     to = F.array(
         F.struct(F.col("own").alias("part"), F.lit(False).alias("copy")),
         F.struct(F.col("other").alias("part"), F.lit(True).alias("copy")),
     )
     return (
-        rows.select("doc_id", "text", "key", F.inline(F.filter(to, lambda x: x["part"] >= 0)))
-        .repartition(parts, "part")
-        .sortWithinPartitions("part", "copy", F.desc("key"), "text")
+        rows.select("doc_id", "text", "key", "tie", F.inline(F.filter(to, lambda x: x["part"] >= 0)))
+        .repartitionById(parts, F.col("part"))
+        .sortWithinPartitions("part", "copy", F.desc("key"), F.desc("tie"), "text")
         .select("part", "copy", "doc_id", "text")
     )
 
@@ -129,8 +142,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     The next document is the one with the next lower id; after the last comes
     the first, and a single document follows itself. NULL text counts as empty,
-    NULL ids come after all others, and equal ids are ordered by text. Every
-    row, repeated ones too, has a row in the result; no rows give no rows.
+    NULL ids come after all others, and equal ids are in a fixed order by hash
+    and text, so that a frequent or missing id fills many tasks. Every row,
+    repeated ones too, has a row in the result; no rows give no rows.
     """
     spark = docs.sparkSession
     ship_package(spark)
