@@ -199,6 +199,42 @@ def test_edits_on_documents(docs_of, texts, tokenizer):
     assert (row.text, row.n_edits) == ("a", 0)
 
 
+@pytest.mark.parametrize("longest, width", [(255, 1), (256, 2), (65535, 2), (70000, 4)])
+def test_packed_leaves_come_back(longest, width):
+    for lengths, counts in (([3, longest, 1], [1, 2, 1]), ([longest] * 130, [longest] * 130)):
+        packed = token_trees._packed(lengths, counts)
+        assert len(packed) == 1 + 2 * width * len(lengths)
+        assert token_trees._unpacked(packed).leaves() == (lengths, counts)
+    assert token_trees._unpacked(token_trees._packed([], [])).total == 0
+
+
+def plain_edits(text, source):
+    n = len(text)
+    edits = [(n // 4, n // 4 + min(n, 20), text[:24]), (n // 2, n // 2, f" {source} "),
+             (n - n // 16, n + 64, "")]
+    for start, end, new in edits:
+        start = min(start, len(text))
+        text = text[:start] + new + text[max(start, min(end, len(text))):]
+    return text
+
+
+def test_query_applies_edits_to_stored_trees(spark, docs_of, texts, tokenizer, tmp_path):
+    pairs = [*enumerate(texts), (5000, None), (None, "x y"), (1, texts[1]), (5001, "é" * 400)]
+    docs = docs_of(pairs)
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 != 0, F.col("source")))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    edited = QUERIES["op8_token_trees"](spark, str(tmp_path))
+    assert all("/token-trees-" in file for file in edited.inputFiles())
+    expected = []
+    for doc_id, text in pairs:
+        before = text or ""
+        after = plain_edits(before, "web" if doc_id is not None and doc_id % 3 else "")
+        counts = len(ids_of(tokenizer, after)), len(ids_of(tokenizer, before))
+        expected.append((doc_id, *counts, len(after), 3))
+    got = edited.select("doc_id", "n_tokens", "n_tokens_before", "n_chars", "n_edits")
+    assert rows_of(got) == sorted(expected, key=repr)
+
+
 # ------------------------------------------------------------------ op 5
 
 

@@ -115,8 +115,16 @@ def three_edits() -> Column:
 
 
 def op8_token_trees(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").withColumn("edits", three_edits())
-    return token_trees.apply_edits(docs, tokenizer_path(), with_state=False)
+    """Counts after three edits of every document, applied to stored trees.
+
+    The trees are written first; the edits are made from and applied to what is
+    read back. NULL text is empty, every row has a row, repeated ones too; edits
+    out of place are treated as ``token_trees.apply_edits`` says.
+    """
+    docs = table(spark, folder, "documents")
+    state = token_trees.stored_trees(docs, tokenizer_path(), "source")
+    edited = state.withColumn("edits", three_edits())
+    return token_trees.apply_edits(edited, tokenizer_path(), with_state=False)
 
 
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:

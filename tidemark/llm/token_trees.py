@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Pieces, pieces_of
-from tidemark.session import ship_package
+from tidemark.session import new_path, ship_package
 
 BLOCK = 64  # pre-tokens in a block of the tree when it is built
 _WINDOW = 64  # code points behind an edit that are encoded first
@@ -170,11 +170,15 @@ EDIT = "array<struct<start:bigint,end:bigint,replacement:string>>"
 
 
 def _packed(lengths: list[int], counts: list[int]) -> bytes:
-    return np.array([lengths, counts], "<u4").tobytes()
+    """Both rows in the narrowest of one, two or four bytes a number, behind a byte that says which."""
+    width = next(w for w in (1, 2, 4) if max(lengths, default=0) < 1 << 8 * w)
+    width = max(width, next(w for w in (1, 2, 4) if max(counts, default=0) < 1 << 8 * w))
+    return bytes([width]) + np.array([lengths, counts], f"<u{width}").tobytes()
 
 
 def _unpacked(tree: bytes) -> TokenTree:
-    lengths, counts = np.frombuffer(tree, "<u4").reshape(2, -1).tolist()
+    numbers = np.frombuffer(tree, f"<u{tree[0]}", offset=1)
+    lengths, counts = numbers.reshape(2, -1).tolist()
     return TokenTree(lengths, counts)
 
 
@@ -216,6 +220,18 @@ def build_trees(docs: DataFrame, tokenizer: str, *also: str) -> DataFrame:
     return source.mapInArrow(run, STATE + passed)
 
 
+def stored_trees(docs: DataFrame, tokenizer: str, *also: str) -> DataFrame:
+    """``build_trees`` written to a new table in the shared folder, and read back from there.
+
+    What reads the result starts from the kept state: a lost executor costs a
+    re-read of files, and texts are not encoded again.
+    """
+    spark = docs.sparkSession
+    trees, path = build_trees(docs, tokenizer, *also), new_path(spark, "token-trees")
+    trees.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(trees.schema).parquet(path)
+
+
 _COUNTS = ("n_tokens_before", "n_chars", "n_edits", "reencoded")
 _FLUSH_BYTES = 8 << 20  # of new state that is handed on at once
 
