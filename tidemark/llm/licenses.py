@@ -1,17 +1,27 @@
 """License scans with a positional index of rare words.
 
-Templates are short word sequences. Their postings say, for each word, in which
-template and at which place it stands. Licence words are ranked by their inverse
-document frequency over the whole corpus. A template counts if its aligned words
-reach ``LEAST_SHARE`` of its weight and all of its key phrases stand word by word
-where the alignment says. So each template is filed under the rarest word of its
-key phrases, and every occurrence of that word in a file proposes a start: no
-template that counts is left out, however many notices a file has.
+Templates are word sequences: notices of public licences, some whole, and their
+identifiers. Their postings say, for each word, in which template and at which
+place it stands. Licence words are ranked by their inverse document frequency
+over the whole corpus. A template counts if
+
+* its key phrases stand word by word: the first wherever it does, which sets the
+  start of the template, the others within ``GAP`` words of where that puts them;
+* and its words found in their order, each within ``GAP`` words of its place,
+  reach ``LEAST_SHARE`` of its weight. So words may be missing, changed or put in.
+
+A file looks up the highest-ranked words of each template, as many as hold
+``LOOKED_UP`` of its weight. Where a template counts, at least ``LOOKED_UP +
+LEAST_SHARE - 1`` of its weight are looked-up words that agree on its start
+within ``GAP``. So the postings are intersected by relative position and only
+starts with that much agreement are aligned; none that counts is left out,
+however many notices a file has and however frequent their words are.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -23,6 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.session import ship_package
 
 LEAST_SHARE = 0.6
+LOOKED_UP = 0.7
+GAP = 8
 
 #: The base phrases, each with its label.
 BASE = (
@@ -79,8 +91,87 @@ TEMPLATES = (
     ),
     Template("cc0", "creative commons zero cc0 1 0 universal public domain dedication",
              ("public domain dedication",)),
+    Template("agpl", "gnu affero general public license", ("affero general public license",)),
+    Template("epl", "made available under the terms of the eclipse public license",
+             ("eclipse public license",)),
+    Template(
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except"
+        " in compliance with the license you may obtain a copy of the license at http www apache org"
+        " licenses license 2 0 unless required by applicable law or agreed to in writing software"
+        " distributed under the license is distributed on an as is basis without warranties or"
+        " conditions of any kind either express or implied see the license for the specific language"
+        " governing permissions and limitations under the license",
+        ("unless required by applicable law", "without warranties or conditions of any kind"),
+    ),
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this"
+        " software and associated documentation files the software to deal in the software without"
+        " restriction including without limitation the rights to use copy modify merge publish"
+        " distribute sublicense and or sell copies of the software and to permit persons to whom the"
+        " software is furnished to do so subject to the following conditions the above copyright"
+        " notice and this permission notice shall be included in all copies or substantial portions"
+        " of the software",
+        ("to deal in the software without restriction", "sublicense and or sell copies"),
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or"
+        " without fee is hereby granted provided that the above copyright notice and this permission"
+        " notice appear in all copies",
+        ("permission to use copy modify", "with or without fee"),
+    ),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are"
+        " permitted provided that the following conditions are met redistributions of source code"
+        " must retain the above copyright notice this list of conditions and the following disclaimer"
+        " redistributions in binary form must reproduce the above copyright notice this list of"
+        " conditions and the following disclaimer in the documentation and or other materials"
+        " provided with the distribution",
+        ("must retain the above copyright notice", "must reproduce the above copyright notice"),
+    ),
+    Template(
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will"
+        " the authors be held liable for any damages arising from the use of this software permission"
+        " is granted to anyone to use this software for any purpose including commercial applications"
+        " and to alter it and redistribute it freely",
+        ("including commercial applications", "to alter it and redistribute it freely"),
+    ),
+    Template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to"
+        " copy modify publish use compile sell or distribute this software",
+        ("free and unencumbered software",),
+    ),
 )
 
+#: Identifiers as a machine-readable licence line names them, each with its label.
+IDENTIFIERS = (
+    ("mit", "mit"),
+    ("isc", "isc"),
+    ("zlib", "zlib"),
+    ("unlicense", "unlicense"),
+    ("apache 2 0", "apache-2.0"),
+    ("bsd 2 clause", "bsd"),
+    ("bsd 3 clause", "bsd"),
+    ("gpl 2 0", "gpl"),
+    ("gpl 3 0", "gpl-3.0"),
+    ("lgpl 2 1", "lgpl"),
+    ("lgpl 3 0", "lgpl"),
+    ("agpl 3 0", "agpl"),
+    ("mpl 2 0", "mpl-2.0"),
+    ("epl 2 0", "epl"),
+    ("cc by 4 0", "cc-by-4.0"),
+    ("cc by sa 4 0", "cc-by-sa-4.0"),
+    ("cc by nc 4 0", "cc-by-nc-4.0"),
+    ("cc0 1 0", "cc0"),
+)
+_LINES = ((label, "spdx license identifier " + name) for name, label in IDENTIFIERS)
+TEMPLATES += tuple(Template(label, line, (line,)) for label, line in _LINES)
+
 #: Digits and lower-case ASCII letters stay, A to Z become lower case, bytes from 128 on stay.
 _FOLD = bytes(
     byte if byte >= 128 or chr(byte).isdigit() or chr(byte).islower()
@@ -121,12 +212,21 @@ class Index:
         self.anchors = [
             max(range(len(p)), key=lambda k, p=p: (self.weight[p[k]], -k)) for p in self.base
         ]
-        # Each template is filed under the rarest word of its key phrases.
+        # The highest-ranked words of each template, up to the share that is looked up.
+        self.looked_up: list[list[tuple[int, bytes, float]]] = []
+        # Each template is filed under the rarest word of its first key phrase.
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for number, (words, keys) in enumerate(zip(self.words, self.key_places)):
-            inside = {at + k for key, at in keys for k in range(len(key))}
-            place = max(inside, key=lambda k, words=words: (self.weight[words[k]], -k))
-            self.postings[words[place]].append((number, place))
+            chosen, left = [], LOOKED_UP * self.total[number]
+            for place in sorted(range(len(words)), key=lambda k, w=words: (-self.weight[w[k]], k)):
+                if left > 0:
+                    weight = self.weight[words[place]]
+                    chosen.append((place, words[place], weight))
+                    left -= weight
+            self.looked_up.append(chosen)
+            first, at = keys[0]
+            rarest = max(range(len(first)), key=lambda k, w=first: (self.weight[w[k]], -k))
+            self.postings[first[rarest]].append((number, at + rarest))
 
     def scan(self, words: list[bytes]) -> tuple[list[list[int]], dict[str, float]]:
         """Places of each base phrase, and the share of each label whose template was found."""
@@ -139,29 +239,60 @@ class Index:
             starts = (place - anchor for place in places.get(phrase[anchor], ()))
             base.append([s for s in starts if s >= 0 and _stands(words, s, phrase)])
 
-        proposed = {
-            (number, place - at)
-            for word, filed in self.postings.items()
-            for number, at in filed
-            for place in places.get(word, ())
-        }
         found: dict[str, float] = {}
-        for number, start in proposed:
-            if all(_stands(words, start + at, key) for key, at in self.key_places[number]):
-                share = self._share(words, number, start)
-                if share >= LEAST_SHARE:
-                    label = self.labels[number]
-                    found[label] = max(found.get(label, 0.0), share)
+        for word, filed in self.postings.items():
+            for number, at in filed if word in places else ():
+                label = self.labels[number]
+                for place in places[word]:
+                    if found.get(label, 0.0) >= 1.0:
+                        break  # no other start can do better
+                    start = place - at
+                    if self._agrees(places, number, start) and self._keys(words, number, start):
+                        share = self._share(places, number, start)
+                        if share >= LEAST_SHARE:
+                            found[label] = max(found.get(label, 0.0), share)
         return base, found
 
-    def _share(self, words: list[bytes], number: int, start: int) -> float:
-        template = self.words[number]
-        here = sum(
-            self.weight[word]
-            for place, word in enumerate(template, start)
-            if 0 <= place < len(words) and words[place] == word
+    def _agrees(self, places: dict[bytes, list[int]], number: int, start: int) -> bool:
+        """Whether enough looked-up words stand near the place that ``start`` gives them."""
+        chosen = self.looked_up[number]
+        # What may be missing of the looked-up words is what may be missing of all.
+        spare = (1 - LEAST_SHARE) * self.total[number] + 1e-9
+        for at, word, weight in chosen:
+            if not _near(places.get(word, ()), start + at):
+                spare -= weight
+                if spare < 0:
+                    return False
+        return True
+
+    def _keys(self, words: list[bytes], number: int, start: int) -> bool:
+        """Whether the first key phrase stands in its place and the others near theirs."""
+        (first, at), *others = self.key_places[number]
+        return _stands(words, start + at, first) and all(
+            any(_stands(words, start + at + step, key) for step in range(-GAP, GAP + 1))
+            for key, at in others
         )
-        return min(1.0, here / self.total[number])
+
+    def _share(self, places: dict[bytes, list[int]], number: int, start: int) -> float:
+        """Greatest share of the weight whose words stand in order, each near its place."""
+        template = self.words[number]
+        begin = start - GAP
+        best = [0.0] * (len(template) + 2 * GAP + 1)  # best[k]: with file words before begin + k
+        for at, word in enumerate(template, start):
+            weight = self.weight[word]
+            for place in reversed(_near(places.get(word, ()), at)):
+                k = place - begin
+                reached = best[k] + weight
+                for later in range(k + 1, len(best)):
+                    if best[later] >= reached:
+                        break
+                    best[later] = reached
+        return min(1.0, best[-1] / self.total[number])
+
+
+def _near(places: list[int], at: int) -> list[int]:
+    """Those of ascending ``places`` that lie within ``GAP`` of ``at``."""
+    return places[bisect_left(places, at - GAP) : bisect_right(places, at + GAP)]
 
 
 def _find(words: tuple, key: tuple) -> int:
