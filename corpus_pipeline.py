@@ -37,7 +37,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every piece of every document lies."""
-    return best_fit.pack(best_fit.token_pieces(docs, plans.tokenizer_path()))
+    ranks = plans.tokenizer_path(plans.PACKING_RANKS)
+    return best_fit.pack(best_fit.token_pieces(docs, plans.tokenizer_path(), ranks=ranks))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

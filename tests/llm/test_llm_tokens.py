@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from tests_llm_helpers import docs_of, rows_of, texts  # noqa: F401 (fixtures)
 
 from tidemark.llm import best_fit, bpe, quality, tiling, token_trees
-from tidemark.llm.plans import QUERIES, three_edits, tokenizer_path
+from tidemark.llm.plans import PACKING_RANKS, QUERIES, three_edits, tokenizer_path
 
 TOKENIZER = tokenizer_path()
+RANKS = tokenizer_path(PACKING_RANKS)
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +52,20 @@ def test_ids_are_the_tokenizers(tokenizer, texts, monkeypatch):
         assert np.frombuffer(pieces.encode(text), "<u4").tolist() == ids_of(tokenizer, text)
 
 
+def test_ranks_give_the_tokenizers_ids(tokenizer, texts, monkeypatch):
+    """Without a look at single pre-tokens, whose number of new ones would set the time."""
+    pieces = bpe.Pieces(TOKENIZER, ranks=RANKS)
+    wide = [c for c in map(chr, range(0x3000)) if bpe._PLAIN.fullmatch(c)]
+    marks = [f"a{c}1{c}.{c} {c} {c}{c}a'{c}s \n{c}  {c}" for c in wide]
+    runs = ["x" * 399, "a" + " \n" * 199 + "b", "it's  we'll \n\n I'd 'tis\t x \xa0 z  ", ""]
+    other = ["a <|endoftext|> b", "y" * 5000, "a" + " " * 3000 + "b", "\x85 漢"]
+    for text in [*texts, *marks, *runs, *other]:
+        assert np.frombuffer(pieces.encode(text), "<u4").tolist() == ids_of(tokenizer, text)
+    monkeypatch.setattr(bpe.Pieces, "look_up", None)
+    for text in [*marks, *runs]:
+        assert np.frombuffer(pieces.encode(text), "<u4").tolist() == ids_of(tokenizer, text)
+
+
 def check_packing(rows, expected, size):
     pieces, bins = defaultdict(dict), defaultdict(list)
     for doc_id, piece, start, length, crc, sequence, offset in rows:

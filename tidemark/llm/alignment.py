@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import _PLAIN
+from tidemark.llm.bpe import _PLAIN, rank_encoding
 from tidemark.session import ship_package, stage
 
 BLOCK_BYTES = 1 << 20  # of text, aligned as one table
@@ -61,17 +61,7 @@ class ByteLevel:
             self.tokens[k] = bytes(letters[c] for c in token)
         self._fast = None
         if ranks:
-            import base64
-
-            import public_tokenizers
-            import tiktoken
-
-            with open(ranks, "rb") as lines:
-                pairs = (line.split() for line in lines)
-                table = {base64.b64decode(token): int(rank) for token, rank in pairs}
-            self._fast = tiktoken.Encoding(
-                "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}
-            )
+            self._fast = rank_encoding(ranks)
 
     def encode(self, text: str) -> np.ndarray:
         if self._fast and _PLAIN.fullmatch(text) and not _LONG_RUN.search(text):

@@ -83,16 +83,19 @@ def cut(total: int, size: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(at, size) for at in range(first, total, size)]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE_TOKENS) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer: str, size: int = SEQUENCE_TOKENS, ranks: str | None = None
+) -> DataFrame:
     """One row per piece of every document: its place and the CRC-32 of its ids.
 
     A document is its ids and one separator; NULL text counts as empty, so it
-    still is one separator. Equal rows give equal pieces.
+    still is one separator. Equal rows give equal pieces. ``ranks`` may name the
+    same vocabulary as ranks, which is read faster.
     """
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = pieces_of(tokenizer)
+        bpe = pieces_of(tokenizer, ranks=ranks)
         separator = np.array([SEPARATOR_ID], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[] for _ in _PIECES]

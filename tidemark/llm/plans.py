@@ -49,8 +49,9 @@ def op2_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_best_fit(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = best_fit.token_pieces(table(spark, folder, "documents"), tokenizer_path())
-    return best_fit.pack(pieces)
+    docs = table(spark, folder, "documents")
+    ranks = tokenizer_path(PACKING_RANKS)
+    return best_fit.pack(best_fit.token_pieces(docs, tokenizer_path(), ranks=ranks))
 
 
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
