@@ -62,6 +62,23 @@ def test_full_grid_takes_a_fit_for_each_of_24(spark, noisy, monkeypatch):
     assert len(fits) == 24 and len(search.metrics) == 360 and set(search.metrics) == {15.0}
 
 
+def test_tasks_of_a_fit_do_not_follow_the_files(spark, noisy, monkeypatch):
+    """A task sends statistics of all nodes, so tasks without rows to speak of only add to them."""
+    seen = []
+    fit = trees.DecisionTreeClassifier._fit
+    monkeypatch.setattr(
+        trees.DecisionTreeClassifier,
+        "_fit",
+        lambda self, rows: seen.append(rows.rdd.getNumPartitions()) or fit(self, rows),
+    )
+    grid = {"maxDepth": [2, 6], "impurity": ["gini", "entropy"]}
+    cut = nested.nested_search(noisy.repartition(40), grid, 2, fold_by="id", folds_at_once=2)
+    assert seen == [1] * 4
+    assert cut == nested.nested_search(noisy, grid, 2, fold_by="id", folds_at_once=2)
+    assert nested.tree_tasks(400_000, 12, 12) == 2 and nested.tree_tasks(1_000_000, 12, 12) == 4
+    assert nested.tree_tasks(400, 12, 4) == 3 and nested.tree_tasks(0, 4, 12) == 1
+
+
 def test_nodes_of_a_saved_tree_in_sql(spark, noisy, tmp_path):
     """Children share out their parent's rows, and gains are the falls in impurity."""
     pipeline, tree = trees.tree_pipeline()

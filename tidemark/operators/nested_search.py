@@ -6,6 +6,11 @@ cut at that depth. A higher least gain likewise turns into leaves the nodes
 whose best split gains less, and all below them. So one fit serves every depth
 and least gain of the grid; the other parameters need fits of their own.
 
+Every task of a fit sends the statistics of all nodes, features and bins of a
+level, whatever few rows it has. A fold's rows therefore lie in few partitions:
+as many as bound a task's rows, or as the fits at a time leave cores without
+work. That number, not that of the input's files, sets what a fit shuffles.
+
 The fitted trees are read back from MLlib's saved form, one row per node. The
 rows of a fold pass once through all its trees, which count labels per leaf;
 every cut's accuracy follows from these counts and the nodes above the leaves.
@@ -13,6 +18,7 @@ every cut's accuracy follows from these counts and the nodes above the leaves.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
@@ -28,6 +34,7 @@ from tidemark.operators.tree_selection import QUICK_GRID, tree_pipeline
 from tidemark.session import new_path
 
 DEPTH, GAIN = "maxDepth", "minInfoGain"
+ROWS_PER_TASK = 250_000  # 128 MB of 64 features
 _FOLD = "search_fold"
 _NODE = "id int, prediction double, gain double, leftChild int, rightChild int, rawCount long"
 
@@ -91,15 +98,29 @@ def cut_accuracies(
     return out
 
 
+def tree_tasks(rows: int, cores: int, fits_at_once: int) -> int:
+    """Tasks of one fit: enough for its rows, and for the cores together with the other fits."""
+    return max(1, math.ceil(rows / ROWS_PER_TASK), math.ceil(cores / fits_at_once))
+
+
 def _fold_accuracies(
-    train: DataFrame, test: DataFrame, fits: list[dict], cuts: list, parallelism: int, folder: str
+    train: DataFrame,
+    test: DataFrame,
+    fits: list[dict],
+    cuts: list,
+    parallelism: int,
+    folder: str,
+    folds_at_once: int = 1,
 ) -> list[list[float]]:
     """Accuracies of every cut for each fit on one fold."""
     spark = train.sparkSession
     pipeline, tree = tree_pipeline()
     indexer = pipeline.getStages()[0].fit(train)
+    at_once = min(parallelism, len(fits)) * folds_at_once
+    tasks = tree_tasks(train.count(), spark.sparkContext.defaultParallelism, at_once)
     # Trees read their rows many times over.
-    train = indexer.transform(train).persist()
+    train = indexer.transform(train).select("label", tree.getFeaturesCol()).coalesce(tasks)
+    train.persist()
     depth, gain = max(d for d, _ in cuts), min(g for _, g in cuts)
 
     def fit(number: int) -> DecisionTreeClassificationModel:
@@ -111,7 +132,7 @@ def _fold_accuracies(
 
     pool = ThreadPool(min(parallelism, len(fits)))
     try:
-        models = pool.map(inheritable_thread_target(spark)(fit), range(len(fits)))
+        models = pool.map(inheritable_thread_target(spark)(fit), range(len(fits)), chunksize=1)
     finally:
         pool.close()
         train.unpersist()
@@ -193,7 +214,13 @@ def nested_search(
     def accuracies(k: int) -> list[list[float]]:
         part = F.col(_FOLD) == k
         return _fold_accuracies(
-            rows.where(~part), rows.where(part), fits, cuts, parallelism, f"{folder}/{k}"
+            rows.where(~part),
+            rows.where(part),
+            fits,
+            cuts,
+            parallelism,
+            f"{folder}/{k}",
+            min(folds_at_once, folds),
         )
 
     pool = ThreadPool(folds_at_once)
